@@ -25,18 +25,18 @@ def _titled(chart: DataFrame) -> DataFrame:
 
 
 def song_debuts(chart: DataFrame) -> DataFrame:
-    """G1: first chart date per title."""
-    return _titled(chart).groupBy("Song").agg(F.min("Date").alias("DebutDate"))
+    """G1: first chart date per title (a NULL title is its own group, as in SQL)."""
+    return chart.groupBy("Song").agg(F.min("Date").alias("DebutDate"))
 
 
 def song_max_weeks(chart: DataFrame) -> DataFrame:
     """Longest run per title."""
-    return _titled(chart).groupBy("Song").agg(F.max("`Weeks in Charts`").alias("max_weeks"))
+    return chart.groupBy("Song").agg(F.max("`Weeks in Charts`").alias("max_weeks"))
 
 
 def song_best_peak(chart: DataFrame) -> DataFrame:
     """Best (lowest) peak position per title."""
-    return _titled(chart).groupBy("Song").agg(F.min("`Peak Position`").alias("highest_peak"))
+    return chart.groupBy("Song").agg(F.min("`Peak Position`").alias("highest_peak"))
 
 
 def song_rows(chart: DataFrame, peak: str = "debut") -> DataFrame:
