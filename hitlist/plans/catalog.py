@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hitlist.operators import analyses, cleaning, employee, model, quality, upsert
 from hitlist.schemas import LENGTH_LIMITS
+from hitlist.session import materialize
 from hitlist.sources import bootstrap_flagged, chart_rows, employee_rows
 from hitlist.streaming import refresh
 
@@ -35,7 +36,7 @@ class Frames:
     # ---- chart source and cleaning
     @cached_property
     def raw(self) -> DataFrame:
-        return chart_rows(self.spark, self.sf_dir)
+        return materialize(chart_rows(self.spark, self.sf_dir))
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -43,7 +44,7 @@ class Frames:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return cleaning.clean(self.flagged)
+        return materialize(cleaning.clean(self.flagged))
 
     # ---- star model (bootstrap over the whole chart)
     def songs(self, peak: str = "debut") -> DataFrame:
@@ -73,7 +74,7 @@ class Frames:
 
     @cached_property
     def stored(self) -> DataFrame:
-        return cleaning.clean(bootstrap_flagged(self.history_raw))
+        return materialize(cleaning.clean(bootstrap_flagged(self.history_raw)))
 
     @cached_property
     def new_rows(self) -> DataFrame:
@@ -81,7 +82,7 @@ class Frames:
 
     @cached_property
     def refreshed(self) -> DataFrame:
-        return refresh.refresh_source(self.stored, self.raw)
+        return materialize(refresh.refresh_source(self.stored, self.raw))
 
     @cached_property
     def stored_songs(self) -> DataFrame:

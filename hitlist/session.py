@@ -26,9 +26,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     conf.update(
         {
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.bindAddress": "127.0.0.1",
             "spark.driver.host": "127.0.0.1",
-            "spark.driver.memory": os.environ.get("HITLIST_DRIVER_MEMORY", "16g"),
+            "spark.driver.memory": os.environ.get("HITLIST_DRIVER_MEMORY", "8g"),
         }
     )
     for k, v in conf.items():
@@ -57,3 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="hitlist-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+
+    Used at stage boundaries that the reference also stores (raw chart, cleaned
+    chart): later filters cannot be pushed back into the long chain of cleaning
+    projections (which Catalyst would otherwise inline, growing the plan with every
+    rule), the stage is computed once however many branches read it, and a lost
+    executor recomputes from the checkpoint, not from the scans.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -55,6 +55,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dic
 
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
+    con.execute("SET memory_limit='4GB'")
+    con.execute("SET threads=4")
     out = {}
     for name in names or list(qs):
         rec: dict = {}
@@ -67,6 +69,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dic
         except Exception as e:  # noqa: BLE001
             rec["error"] = f"spark: {type(e).__name__}: {str(e)[:400]}"
             out[name] = rec
+            print(name, json.dumps(rec), flush=True)
             continue
         if name in sqls:
             try:
@@ -80,6 +83,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dic
             except Exception as e:  # noqa: BLE001
                 rec["error"] = f"duckdb: {type(e).__name__}: {str(e)[:400]}"
         out[name] = rec
+        print(name, json.dumps(rec), flush=True)
     return out
 
 
@@ -89,7 +93,5 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     res = compare(spark, sf, sys.argv[2:] or None)
-    for k, v in res.items():
-        print(k, json.dumps(v))
     bad = [k for k, v in res.items() if not v.get("match")]
     print("MISMATCH/ERROR:", bad)
