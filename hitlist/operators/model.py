@@ -141,8 +141,12 @@ def contribution_pairs(chart: DataFrame, songs_df: DataFrame, artists_df: DataFr
 
 def resolve_contributions(pairs: DataFrame) -> DataFrame:
     """One row per (SongID, ArtistID); a primary credit beats a featured one."""
-    # 'Primary' > 'Feature' in string order, so max() keeps the primary credit.
-    return pairs.groupBy("SongID", "ArtistID").agg(F.max("Contribution").alias("Contribution"))
+    # max over a 0/1 flag stays in a (fixed-width) hash aggregate with a map-side
+    # partial step; a max over the label itself would force a sort aggregate.
+    flag = F.max((F.col("Contribution") == F.lit("Primary")).cast("int")).alias("_primary")
+    return pairs.groupBy("SongID", "ArtistID").agg(flag).select(
+        "SongID", "ArtistID", F.when(F.col("_primary") == 1, F.lit("Primary")).otherwise(F.lit("Feature")).alias("Contribution")
+    )
 
 
 def features_primary(chart: DataFrame, songs_df: DataFrame, artists_df: DataFrame) -> DataFrame:
