@@ -20,7 +20,8 @@ def employee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
     per_cust = orders.groupBy("o_custkey").agg(
         F.min(F.col("o_orderdate").cast("date")).alias("first_date"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
+        # exact cents summed as a long (a decimal(28,2) sum buffer goes through BigDecimal)
+        F.sum((F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")).alias("total_cents"),
     )
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -43,5 +44,9 @@ def employee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal").cast("decimal(18,2)") + F.lit(20000)).cast("double").alias("Salary"),
         (F.lit(1) + k % 5).cast("int").alias("PerformanceRating"),
         (F.lit(1) + k % 4).cast("int").alias("SupportRating"),
-        F.when(k % 5 == 2, F.lit(None).cast("double")).otherwise(F.col("total").cast("double")).alias("TotalSales"),
+        # cents / 100 in double arithmetic is the correctly rounded value of the exact
+        # decimal total, as a decimal -> double cast is
+        F.when(k % 5 == 2, F.lit(None).cast("double"))
+        .otherwise(F.col("total_cents").cast("double") / F.lit(100.0))
+        .alias("TotalSales"),
     )
