@@ -5,9 +5,9 @@ intermediate decimal rounding can move a value across a .xx5 boundary:
 
     mean_2dp = sign(S) * ((2*|S| + n) div (2*n)) / 100,   S = sum(100 * x), n = count(x)
 
-Integers are scaled by 100; money doubles are first fixed to cents
-(``decimal(18,2)``). Sums are decimal(38)-wide, so they do not overflow at any
-realistic row count. An empty or all-NULL group gives NULL.
+Integers are scaled by 100 and summed as longs; money doubles are first fixed to
+cents (``decimal(18,2)``) and summed decimal(38)-wide, so money totals do not
+overflow at any row count. An empty or all-NULL group gives NULL.
 
 Both helpers return aggregate Columns for ``groupBy().agg(...)``; Catalyst shares
 the repeated ``sum``/``count`` so each is computed once, with map-side partial
@@ -31,8 +31,13 @@ def _rounded_mean(scaled_sql: str) -> Column:
 
 
 def avg2(column: str) -> Column:
-    """ROUND(AVG(int_column)::numeric, 2) as a DOUBLE."""
-    return _rounded_mean(f"CAST({_ident(column)} AS DECIMAL(20,0)) * 100")
+    """ROUND(AVG(int_column)::numeric, 2) as a DOUBLE.
+
+    Integer inputs (ratings, chart positions, weeks) are small, so the scaled sum is
+    a long: a fixed-width hash-aggregate buffer instead of a wide decimal one. An
+    overflow would raise under ANSI mode, never wrap.
+    """
+    return _rounded_mean(f"CAST({_ident(column)} AS BIGINT) * 100")
 
 
 def avg2_money(column: str) -> Column:
@@ -43,7 +48,7 @@ def avg2_money(column: str) -> Column:
 def _scaled(column: str, money: bool) -> str:
     if money:
         return f"CAST(CAST({_ident(column)} AS DECIMAL(18,2)) * 100 AS DECIMAL(20,0))"
-    return f"CAST({_ident(column)} AS DECIMAL(20,0)) * 100"
+    return f"CAST({_ident(column)} AS BIGINT) * 100"
 
 
 def mean_parts(column: str, money: bool = False, prefix: str = "_m") -> list[Column]:
