@@ -37,10 +37,12 @@ def with_dense_id(
     """Add ``id_col`` = start + 0-based rank of the row in ``order_by`` (NULLS LAST)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _order_cols(order_by)
+    # Without an explicit count AQE sizes the range partitions from the data; it only
+    # merges *contiguous* partitions, so partition ids stay in key order.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     staged = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_k1_part", F.spark_partition_id())
         .withColumn("_k1_pos", F.monotonically_increasing_id())

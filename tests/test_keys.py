@@ -24,3 +24,24 @@ def test_dense_id_start_and_empty_partitions(spark):
     assert [(r.name, r.id) for r in got] == [("x", 41), ("y", 42)]
     empty = with_dense_id(df.limit(0), ["name"], "id")
     assert empty.count() == 0
+
+
+def test_dense_id_with_coalesced_range_partitions(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 13).alias("v"))
+    confs = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        got = with_dense_id(df, ["k"], "id")
+        assert got.rdd.getNumPartitions() > 1
+        rows = {(r.k, r.id) for r in got.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows == {(k, k + 1) for k in range(5000)}
