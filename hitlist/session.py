@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files once nothing references them, so the shared
+    # checkpoint folder does not grow with every refresh
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
