@@ -45,7 +45,9 @@ class Frames:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return bootstrap_flagged(self.raw_stored if "raw_stored" in self.__dict__ else self.raw)
+        # If a weekly branch of this query already stored the derived chart, read that
+        # copy instead of deriving the chart from lineitem again.
+        return bootstrap_flagged(self.__dict__.get("raw_stored", self.raw))
 
     @cached_property
     def clean(self) -> DataFrame:
