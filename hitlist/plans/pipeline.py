@@ -165,3 +165,25 @@ def check_hr_model(m: dict[str, DataFrame]) -> DataFrame:
             quality.length_violations(m["employee"], "employee", "EmployeeName", 100),
         ]
     )
+
+
+def check_stored(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """Q1-Q5 over whatever model tables ``version`` holds (chart and/or employee)."""
+    from pyspark.errors import AnalysisException
+
+    def _read(stage: str, tables: list[str]) -> dict[str, DataFrame] | None:
+        try:
+            return {t: spark.read.parquet(path(root, version, stage, t)) for t in tables}
+        except AnalysisException:  # a table of this model is missing
+            return None
+
+    checks = []
+    chart = _read("model", ["songs", "artists", "entries", "features"])
+    if chart:
+        checks.append(check_chart_model(chart))
+    hr = _read("hr_model", ["department", "employee", "support_ratings", "total_sales"])
+    if hr:
+        checks.append(check_hr_model(hr))
+    if not checks:
+        raise FileNotFoundError(f"no model tables under {root}/{version}")
+    return quality.union_all(checks)

@@ -50,3 +50,15 @@ def employee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("total_cents").cast("double") / F.lit(100.0))
         .alias("TotalSales"),
     )
+
+
+def read_employee_data(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """Employee data from a file: CSV (header, all text) or Parquet, bound by column
+    name and cast to the employee-data schema."""
+    from hitlist.schemas import EMPLOYEE_DATA
+
+    if fmt == "csv":
+        raw = spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in EMPLOYEE_DATA.fields])
