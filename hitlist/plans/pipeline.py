@@ -95,6 +95,9 @@ def weekly(
     (stored ids kept, new keys appended) and the summaries recomputed. The result
     is written as ``to_version``.
     """
+    if to_version == from_version:
+        # overwriting Parquet files that the same job reads deletes them first
+        raise ValueError("a refresh writes a new version; to_version must differ from from_version")
     stored = spark.read.parquet(path(root, from_version, "source", "clean"))
     old = {n: spark.read.parquet(path(root, from_version, "model", n)) for n in ["songs", "artists", "entries", "features"]}
     clean = _store(spark, refresh.refresh_source(stored, incoming_raw, standardize_featured), path(root, to_version, "source", "clean"))

@@ -1,5 +1,6 @@
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from hitlist.plans import pipeline
@@ -25,3 +26,9 @@ def test_bootstrap_then_weekly_and_employees(spark):
     assert pipeline.check_hr_model(hr).count() == 0
     a6 = pipeline.read_summary(spark, root, "v2", "performance_by_tenure_analysis").collect()
     assert [r.tenure for r in a6] == ["0-5", "6-10", "11-15", "16-20", None]
+
+
+def test_weekly_refuses_to_overwrite_its_input(spark):
+    raw = chart_rows(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        pipeline.weekly(spark, raw, tempfile.mkdtemp(prefix="hitlist-pipe-"), "v1", "v1")
