@@ -6,8 +6,8 @@
     python -m hitlist check     --root ROOT --version v2
 
 ``--chart`` is the chart file (CSV with a header); ``ROOT`` is a folder every
-executor can reach. Run with ``spark-submit -m``-style launchers or plain python;
-an existing session (e.g. from spark-submit) is reused.
+executor can reach. Run it with plain python or through spark-submit; an existing
+session is reused, and the checkpoint folder comes from ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
