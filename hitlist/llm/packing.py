@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import WHITE, load_tokenizer, stage, text_key
+from hitlist.llm.shared import WHITE, bound_batches, load_tokenizer, stage, text_key
 
 LENGTH = 2048
 END_ID = 0
@@ -158,10 +158,10 @@ def _piece_rows(paths: tuple, length: int, end_id: int):
 
         encoder, end = Encoder.of(*paths), end_id.to_bytes(4, "little")
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             at, piece, start, size, crc = [], [], [], [], []
-            for i in range(0, len(texts), 64):
-                for k, ids in enumerate(encoder.encode(texts[i : i + 64])):
+            for i in range(0, len(batch), 64):
+                texts = [t or "" for t in batch.column("text").slice(i, 64).to_pylist()]
+                for k, ids in enumerate(encoder.encode(texts)):
                     ids += end
                     for p, (s, n) in enumerate(cuts(len(ids) // 4, length)):
                         at.append(i + k)
@@ -180,6 +180,7 @@ def _piece_rows(paths: tuple, length: int, end_id: int):
 
 def pieces(docs: DataFrame, paths: tuple, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """(doc_id, key, piece, start, length, ids_crc32) of all documents."""
+    bound_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(
         _piece_rows(paths, length, end_id),

@@ -39,6 +39,14 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def bound_batches(spark: SparkSession, rows: int = 500) -> None:
+    """At most ``rows`` rows in an Arrow batch from here on: texts can be long, and a batch is
+    held whole by the executor and by its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def load_tokenizer(path: str):
     """A ``tokenizers.Tokenizer`` without truncation or padding, one thread a task."""
     import os

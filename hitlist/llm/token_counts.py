@@ -22,7 +22,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import WHITE, load_tokenizer, stage, text_key
+from hitlist.llm.shared import WHITE, bound_batches, load_tokenizer, stage, text_key
 
 #: Bounds of the broadcast: so many pre-tokens, each of at most so many characters.
 HEAD, HEAD_CHARS = 1 << 18, 32
@@ -145,6 +145,7 @@ def _document_counter(known):
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) per row of (doc_id, text)."""
     spark = docs.sparkSession
+    bound_batches(spark, 2000)
     docs = docs.select("doc_id", "text")
     vocab = vocabulary(docs, path)
     known = spark.sparkContext.broadcast(head(vocab))
