@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import packing, token_counts
+from hitlist.llm import decontaminate, packing, quality, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -17,14 +17,24 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("byte_bpe_50k.tiktoken")
     return packing.pack_documents(table(spark, sf_dir, "documents"), paths)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), host="source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
