@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import decontaminate, packing, quality, token_counts
+from hitlist.llm import decontaminate, packing, quality, substrings, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -17,6 +17,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,6 +36,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
