@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import decontaminate, packing, quality, substrings, token_counts
+from hitlist.llm import decontaminate, neardup, packing, quality, substrings, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.links(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"), limit=2048
@@ -35,6 +39,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
