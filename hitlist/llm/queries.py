@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import decontaminate, neardup, packing, quality, substrings, token_counts
+from hitlist.llm import decontaminate, neardup, packing, pii, quality, substrings, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -25,6 +25,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+#: Of the registered queries; a deployment passes its own.
+SURROGATE_KEY = "registered-query"
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, SURROGATE_KEY, counts=True)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
