@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import decontaminate, neardup, packing, pii, quality, substrings, token_counts
+from hitlist.llm import chat, decontaminate, licenses, neardup, packing, pii, quality, substrings, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -43,6 +43,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), paths)
 
 
+#: A conversation whose texts have what a template must escape.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    return chat.digests(rows.union(more), public_tokenizer("byte_bpe_50k.json"))
+
+
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("notices")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), host="source")
 
@@ -54,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_surrogates": op4_pii_surrogates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_chat_formatting": op8_chat_formatting,
+    "op9_license_scans": op9_license_scans,
     "op10_quality_rules": op10_quality_rules,
 }
 
