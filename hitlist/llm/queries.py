@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import chat, decontaminate, licenses, neardup, packing, pii, quality, substrings, token_counts
+from hitlist.llm import chat, decontaminate, html, licenses, neardup, packing, pii, quality, substrings, token_counts
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -43,6 +43,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), paths)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 #: A conversation whose texts have what a template must escape.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_surrogates": op4_pii_surrogates,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_license_scans": op9_license_scans,
     "op10_quality_rules": op10_quality_rules,
