@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import stage, text_key
+from hitlist.llm.shared import fresh, stage, text_key
 
 N = 10
 #: The largest table of windows that is broadcast.
@@ -132,27 +132,24 @@ def remove(
     """``docs`` without the hit words; documents of which more than ``max_share`` is hit go.
 
     Only the places of hits are shuffled by document, and with them the texts."""
-    columns = docs.columns
+    own, other, key, hit, mend = fresh(docs, "own", "other", "key", "hit", "mend")
     hits = (
         _hits(docs.select("doc_id", "text"), bench.select("item_id", "text"), n, broadcast_bytes)
         .filter(F.size("hit_words") > 0)
         .select(
-            F.col("doc_id").alias("_id"),
-            F.col("key").alias("_key"),
-            F.col("hit_words").alias("_hit"),
-            (F.size("hit_words") <= max_share * F.col("n_words")).alias("_mend"),
+            F.col("doc_id").alias(other),
+            F.col("key").alias(key),
+            F.col("hit_words").alias(hit),
+            (F.size("hit_words") <= max_share * F.col("n_words")).alias(mend),
         )
     )
     hits = stage(hits, "benchmark-hits")
-    mine = docs.withColumn("_own", text_key())
-    joined = mine.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
-    return joined.filter(F.coalesce("_mend", F.lit(True))).select(
-        *(
-            F.when(F.col("_hit").isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col("_hit"))).alias(c)
-            if c == "text"
-            else F.col(f"`{c}`")
-            for c in columns
-        )
+    joined = docs.withColumn(own, text_key()).join(
+        hits, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key)), "left"
+    )
+    text = F.when(F.col(hit).isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col(hit)))
+    return joined.filter(F.coalesce(mend, F.lit(True))).select(
+        *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns)
     )
 
 

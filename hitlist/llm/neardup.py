@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hitlist.llm.graph import components
 from hitlist.llm.hashing import run_hashes, word_hashes
-from hitlist.llm.shared import bound_batches, stage
+from hitlist.llm.shared import bound_batches, fresh, stage
 
 SHINGLE, PERCENT = 5, 80
 TREES, DEPTH, RECALL = 24, 8, 0.9998
@@ -329,6 +329,7 @@ def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: in
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, that of the smallest id.
     Rows without an id stay."""
-    gone = links(docs, **options).filter("doc_id != class_id").select(F.col("doc_id").alias("_gone")).distinct()
+    (name,) = fresh(docs, "gone")
+    gone = links(docs, **options).filter("doc_id != class_id").select(F.col("doc_id").alias(name)).distinct()
     gone = stage(gone, "near-duplicates")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import stage, text_key
+from hitlist.llm.shared import fresh, stage, text_key
 
 # Titles and first names by gender, syllables by script.
 TITLES = {
@@ -252,34 +252,34 @@ def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
         F.count(F.when(F.col("p.j") == 0, 1)).alias("n"),
         F.array_join(F.array_sort(F.collect_set(F.split("type", "[_ ]")[0])), ",").alias("types"),
     )
+    other, own, key_, new, n, kinds = fresh(docs, "other", "own", "key", "new", "n_entities", "types")
     by_match = by_doc.select(
-        F.col("doc_id").alias("_id"),
-        F.col("key").alias("_key"),
+        F.col("doc_id").alias(other),
+        F.col("key").alias(key_),
         F.transform(
             F.sequence(F.lit(0), F.col("n").cast("int") - 1),
             lambda i: F.array_join(F.transform(F.filter("parts", lambda p: p["i"] == i), lambda p: p["s"]), " "),
-        ).alias("_new"),
-        F.col("n").alias("n_entities"),
-        "types",
+        ).alias(new),
+        F.col("n").alias(n),
+        F.col("types").alias(kinds),
     )
     by_match = stage(by_match, "pii-replaced")
     has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    dirty = docs.filter(has).withColumn("_own", text_key()).join(
-        by_match, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key"))
+    dirty = docs.filter(has).withColumn(own, text_key()).join(
+        by_match, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key_))
     )
     gaps = F.split("text", PATTERN)
     text = F.element_at(
         F.transform(
-            F.array(F.struct(gaps.alias("g"), F.col("_new").alias("n"))),
+            F.array(F.struct(gaps.alias("g"), F.col(new).alias("n"))),
             lambda x: F.array_join(F.zip_with(x["g"], x["n"], lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""),
         ),
         1,
     )
-    extra = ["n_entities", "types"] if counts else []
-    done = dirty.select(*(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns), *extra)
+    done = dirty.select(
+        *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns), *([n, kinds] if counts else [])
+    )
     clean = docs.filter(~has)
     if counts:
-        clean = clean.select(
-            *(F.col(f"`{c}`") for c in docs.columns), F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("types")
-        )
+        clean = clean.withColumns({n: F.lit(0).cast("long"), kinds: F.lit("")})
     return clean.unionByName(done)

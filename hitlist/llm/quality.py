@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import SPACES, stage
+from hitlist.llm.shared import SPACES, fresh, stage
 
 #: Base rules: fewer words than this; more than this share of words in repeated windows.
 MIN_WORDS, MAX_REPEATED = 50, 0.5
@@ -170,7 +170,8 @@ def keep_good(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_
     rejected hosts are stored first, so the planner knows their size when it picks the join."""
     failures = rule_failures(metrics(docs, host))
     verdicts = host_verdicts(failures, max_rate).filter("rejected").select("host")
-    rejected = stage(verdicts, "rejected-hosts").select(F.col("host").alias("_host"))
+    (name,) = fresh(docs, "rejected")
+    rejected = stage(verdicts, "rejected-hosts").select(F.col("host").alias(name))
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def good(ws):
@@ -178,4 +179,4 @@ def keep_good(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_
         return (n >= MIN_WORDS) & (100 * repeated_words(ws) <= 100 * MAX_REPEATED * n)
 
     passing = docs.filter(_let(words(text), good))
-    return passing.join(rejected, F.col(host).cast("string").eqNullSafe(F.col("_host")), "left_anti")
+    return passing.join(rejected, F.col(host).cast("string").eqNullSafe(F.col(name)), "left_anti")

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hitlist.llm import chat, decontaminate, html, licenses, neardup, packing, pii, quality, substrings, token_counts
+from hitlist.llm.oracle import ORACLE
 from hitlist.llm.shared import public_tokenizer, table
 
 
@@ -78,4 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

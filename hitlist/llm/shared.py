@@ -39,6 +39,17 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores before it where ``df`` has such a column already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bound_batches(spark: SparkSession, rows: int = 500) -> None:
     """At most ``rows`` rows in an Arrow batch from here on: texts can be long, and a batch is
     held whole by the executor and by its Python worker."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlist.llm.hashing import run_hashes, word_hashes
-from hitlist.llm.shared import SPACES, bound_batches, stage, text_key
+from hitlist.llm.shared import SPACES, bound_batches, fresh, stage, text_key
 
 WINDOW, SEED = 50, 12
 #: Places of an anchor that one task may hold.
@@ -301,7 +301,9 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def remove(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with repeated passages cut out of the texts; texts that change are their kept
     words, joined by single spaces."""
-    changed = _kept(docs, False, **options)
-    mine = docs.withColumn("_own", text_key())
-    joined = mine.join(changed, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_key")), "left")
-    return joined.select(*(F.coalesce("kept", "text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    own, other, key, removed, kept = fresh(docs, "own", "other", "key", "removed", "kept")
+    changed = _kept(docs, False, **options).toDF(other, key, removed, kept)
+    joined = docs.withColumn(own, text_key()).join(
+        changed, (F.col("doc_id") == F.col(other)) & (F.col(own) == F.col(key)), "left"
+    )
+    return joined.select(*(F.coalesce(kept, "text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
