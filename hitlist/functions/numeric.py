@@ -1,17 +1,16 @@
 """A mean rounded to two decimals, half away from zero, computed exactly.
 
-Averages are computed on integer hundredths so that no binary double or
-intermediate decimal rounding can move a value across a .xx5 boundary:
+Averages are computed on whole units of a fixed scale so that no binary double or
+intermediate decimal rounding can move a value across a .xx5 boundary; only the mean is
+rounded, once:
 
-    mean_2dp = sign(S) * ((2*|S| + n) div (2*n)) / 100,   S = sum(100 * x), n = count(x)
+    mean_2dp = sign(S) * ((2*|S| + n*u) div (2*n*u)) / 100,   S = sum(100 * u * x), n = count(x)
 
-Integers are scaled by 100 and summed as longs; money doubles are first fixed to
-cents (``decimal(18,2)``) and summed decimal(38)-wide, so money totals do not
-overflow at any row count. An empty or all-NULL group gives NULL.
+Integers are scaled by 100 (u = 1) and summed as longs; money doubles are fixed to eight
+decimals (u = 10**6) and summed decimal(38)-wide. An empty or all-NULL group gives NULL.
 
-Both helpers return aggregate Columns for ``groupBy().agg(...)``; Catalyst shares
-the repeated ``sum``/``count`` so each is computed once, with map-side partial
-aggregation.
+The helpers return aggregate Columns for ``groupBy().agg(...)``; Catalyst shares the
+repeated ``sum``/``count`` so each is computed once, with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -19,46 +18,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Units of a hundredth that money is summed in: eight decimals.
+MONEY_UNITS = 1_000_000
+
 
 def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _rounded_mean(scaled_sql: str) -> Column:
-    s = f"sum({scaled_sql})"
-    n = f"count({scaled_sql})"
-    return F.expr(f"CAST(sign({s}) * ((2 * abs({s}) + {n}) div nullif(2 * {n}, 0)) / 100D AS DOUBLE)")
+def _whole(column: str) -> str:
+    """Integer inputs (ratings, chart positions, weeks) are small, so the scaled sum is a
+    long: a fixed-width hash-aggregate buffer. An overflow would raise under ANSI mode."""
+    return f"CAST({_ident(column)} AS BIGINT) * 100"
 
 
-def avg2(column: str) -> Column:
-    """ROUND(AVG(int_column)::numeric, 2) as a DOUBLE.
+def _money(column: str) -> str:
+    return f"CAST(CAST({_ident(column)} AS DECIMAL(24,8)) * {100 * MONEY_UNITS} AS DECIMAL(28,0))"
 
-    Integer inputs (ratings, chart positions, weeks) are small, so the scaled sum is
-    a long: a fixed-width hash-aggregate buffer instead of a wide decimal one. An
-    overflow would raise under ANSI mode, never wrap.
-    """
-    return _rounded_mean(f"CAST({_ident(column)} AS BIGINT) * 100")
 
+def _rounded(total: str, count: str, units: int = 1) -> Column:
+    n = f"({count} * {units})"
+    return F.expr(f"CAST(sign({total}) * ((2 * abs({total}) + {n}) div nullif(2 * {n}, 0)) / 100D AS DOUBLE)")
 
-def avg2_money(column: str) -> Column:
-    """ROUND(AVG(money_double)::numeric, 2) on values fixed to cents, as a DOUBLE."""
-    return _rounded_mean(f"CAST(CAST({_ident(column)} AS DECIMAL(18,2)) * 100 AS DECIMAL(20,0))")
 
+def avg2(column: str) -> Column:
+    """ROUND(AVG(int_column)::numeric, 2) as a DOUBLE."""
+    x = _whole(column)
+    return _rounded(f"sum({x})", f"count({x})")
 
-def _scaled(column: str, money: bool) -> str:
-    if money:
-        return f"CAST(CAST({_ident(column)} AS DECIMAL(18,2)) * 100 AS DECIMAL(20,0))"
-    return f"CAST({_ident(column)} AS BIGINT) * 100"
+
+def avg2_money(column: str) -> Column:
+    """ROUND(AVG(money_double)::numeric, 2) as a DOUBLE."""
+    x = _money(column)
+    return _rounded(f"sum({x})", f"count({x})", MONEY_UNITS)
 
 
-def mean_parts(column: str, money: bool = False, prefix: str = "_m") -> list[Column]:
-    """Partial form of the N1 mean: scaled sum and count, to be summed again later
+def mean_parts(column: str, prefix: str = "_m") -> list[Column]:
+    """Partial form of the integer mean: scaled sum and count, to be summed again later
     (e.g. aggregate first, join a small dimension, then finish)."""
-    s = _scaled(column, money)
-    return [F.expr(f"sum({s})").alias(f"{prefix}_sum"), F.expr(f"count({s})").alias(f"{prefix}_cnt")]
+    x = _whole(column)
+    return [F.expr(f"sum({x})").alias(f"{prefix}_sum"), F.expr(f"count({x})").alias(f"{prefix}_cnt")]
 
 
 def finish_mean(sum_col: str, cnt_col: str) -> Column:
     """N1 rounding over already-aggregated scaled sum and count columns."""
-    s, n = _ident(sum_col), _ident(cnt_col)
-    return F.expr(f"CAST(sign({s}) * ((2 * abs({s}) + {n}) div nullif(2 * {n}, 0)) / 100D AS DOUBLE)")
+    return _rounded(_ident(sum_col), _ident(cnt_col))

@@ -59,14 +59,16 @@ def artist_longevity(songs: DataFrame, features: DataFrame, artists: DataFrame)
     )
 
 
+# First and last year of each tenure label (whole years).
+TENURES = [(1, 5, "0-5"), (6, 10, "6-10"), (11, 15, "11-15"), (16, 20, "16-20")]
+
+
 def tenure_bucket(years: Column) -> Column:
     """Tenure label; 0 years, more than 20 and NULL fall in no bucket (NULL)."""
-    return (
-        F.when((years >= 1) & (years < 6), F.lit("0-5"))
-        .when((years >= 6) & (years < 11), F.lit("6-10"))
-        .when((years >= 11) & (years < 16), F.lit("11-15"))
-        .when((years >= 16) & (years <= 20), F.lit("16-20"))
-    )
+    out = F.lit(None).cast("string")
+    for first, last, label in TENURES:
+        out = F.when(years.between(first, last), F.lit(label)).otherwise(out)
+    return out
 
 
 def _tenure_order(c: str = "tenure") -> Column:
@@ -75,7 +77,8 @@ def _tenure_order(c: str = "tenure") -> Column:
 
 def performance_by_department(employee: DataFrame, department: DataFrame) -> DataFrame:
     """A4: mean rating per department; employees without a matching department
-    (including a NULL department) form the NULL group.
+    (including a NULL department) form the NULL group. Of ``department`` only the
+    names are used, so it need not be numbered.
 
     Employees are aggregated per department name first (partial, map-side), so the
     left join with the department table only sees one row per name.

@@ -20,10 +20,14 @@ EMPLOYEE_COLUMNS = [
 ]
 
 
+def department_names(data: DataFrame) -> DataFrame:
+    """M7 without ids: one row per distinct department (a NULL department is a row)."""
+    return data.select(F.col("Department").alias("DepartmentName")).distinct()
+
+
 def departments(data: DataFrame) -> DataFrame:
-    """M7: one row per distinct department (a NULL department is a row) + K1 id."""
-    names = data.select(F.col("Department").alias("DepartmentName")).distinct()
-    return with_dense_id(names, ["DepartmentName"], "DepartmentID").select("DepartmentID", "DepartmentName")
+    """M7 with K1 ids (rank of the name)."""
+    return with_dense_id(department_names(data), ["DepartmentName"], "DepartmentID").select("DepartmentID", "DepartmentName")
 
 
 def employees(data: DataFrame) -> DataFrame:

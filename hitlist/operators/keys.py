@@ -4,9 +4,8 @@
 
 1. range-partition on the natural key (a sampled, parallel shuffle) and sort inside
    each partition; stamp each row with its partition id and position;
-2. cut lineage with a reliable checkpoint into the shared checkpoint folder, so the
-   counting pass and the numbering pass see identical partitions even if an
-   executor is lost and a stage is recomputed;
+2. store that as a table in the shared folder, so the counting pass and the numbering
+   pass see identical positions even if an executor is lost;
 3. count rows per partition (one row per partition), turn the counts into
    cumulative offsets, and broadcast that table (its size is the partition count);
 4. id = offset of the partition + position inside it + ``start``.
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitlist.session import ensure_checkpoint_dir
+from hitlist.session import store
 
 
 def _order_cols(cols: list[str | Column]) -> list[Column]:
@@ -35,18 +34,16 @@ def with_dense_id(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = start + 0-based rank of the row in ``order_by`` (NULLS LAST)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = _order_cols(order_by)
     # Without an explicit count AQE sizes the range partitions from the data; it only
     # merges *contiguous* partitions, so partition ids stay in key order.
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    staged = (
-        ranged
-        .sortWithinPartitions(*keys)
+    staged = store(
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_k1_part", F.spark_partition_id())
-        .withColumn("_k1_pos", F.monotonically_increasing_id())
-    ).checkpoint(eager=True)
+        .withColumn("_k1_pos", F.monotonically_increasing_id()),
+        "numbered",
+    )
     # One row per partition: the partition count bounds this table, so it is broadcast.
     counts = staged.groupBy("_k1_part").agg(F.count(F.lit(1)).alias("_k1_n"), F.min("_k1_pos").alias("_k1_first"))
     offsets = counts.select(

@@ -116,6 +116,11 @@ def _credits(chart: DataFrame, primary: bool = True, featured: bool = True) -> D
     return out.filter(F.col("credit").isNotNull())
 
 
+def credited(chart: DataFrame) -> DataFrame:
+    """(name, Contribution): distinct trimmed names with the kinds of credit they have."""
+    return _credits(chart).select(F.explode(A.split_names(F.col("credit"))).alias("name"), "Contribution").distinct()
+
+
 def artist_names(chart: DataFrame) -> DataFrame:
     """M4 without ids: distinct trimmed names from primary and featured credits."""
     # A credit repeats every week it charts; the explode runs inside the scan stage and

@@ -60,5 +60,16 @@ def length_violations(df: DataFrame, table: str, col: str, limit: int) -> DataFr
     return _shape(g, table, f"length ({col}) <= {limit}", [col])
 
 
+def too_long(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
+    """Q5 for all limited columns of a table in one pass."""
+    cells = [
+        F.struct(F.lit(f"length ({c}) <= {n}").alias("rule"), F.col(f"`{c}`").alias("value"), F.lit(n).alias("limit"))
+        for c, n in limits.items()
+    ]
+    long = df.select(F.inline(F.array(*cells))).filter(F.length("value") > F.col("limit"))
+    g = long.groupBy("rule", "value").count()
+    return g.select(F.lit(table).alias("table_name"), "rule", "value", F.col("count").cast("long").alias("n_rows"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -2,8 +2,8 @@
 
 Parquet tables take no MERGE or UPDATE, so ``INSERT ... ON CONFLICT DO NOTHING``
 becomes: pick one candidate per key by a fixed rule, drop candidates whose key is
-already stored (left-anti join), and union with what is stored. The result is a
-new table version, written to a new folder by the pipeline.
+already stored (left-anti join), and union with what is stored. A refresh
+takes its candidates from the new rows alone, and the pipeline appends what is new.
 """
 
 from __future__ import annotations
@@ -55,26 +55,32 @@ def append_with_ids(target: DataFrame, new_rows: DataFrame, id_col: str, order_b
 # --------------------------------------------------------------------------- star model
 
 
-def songs_upsert(stored_songs: DataFrame, chart_all: DataFrame, peak: str = "debut") -> DataFrame:
-    """Songs after a refresh: stored songs keep their ids and take the new longest
-    run (and best peak); titles first seen in the new rows are appended.
+def songs_upsert(stored_songs: DataFrame, new_chart: DataFrame, peak: str = "debut") -> DataFrame:
+    """Songs after a refresh: stored songs keep their ids and take the new longest run (and
+    best peak); titles first seen in the new rows are appended.
 
-    Equals a rebuild of songs from all rows up to the ids.
+    ``new_chart`` holds cleaned rows newer than all stored ones, so a stored title's debut
+    cannot change, and its longest run and best peak are those of the stored song and the
+    new rows. They are joined by title, of which the new rows are first reduced to one row
+    each: two songs of one title both match, and none twice. Equals a rebuild of songs from
+    all rows up to the ids.
     """
-    rebuilt = model.song_rows(chart_all, peak)
-    key = ["SongTitle", "DebutDate", "SongRank"]
-    latest = rebuilt.select(*key, F.col("PeakPosition").alias("_peak"), F.col("WeeksInCharts").alias("_weeks"))
-    updated = stored_songs.join(latest, key, "left").select(
+    per_title = new_chart.groupBy(F.col("Song").alias("_title")).agg(
+        F.max("`Weeks in Charts`").alias("_weeks"), F.min("`Peak Position`").alias("_peak")
+    )
+    best = F.least("PeakPosition", "_peak") if peak == "best" else F.col("PeakPosition")
+    updated = stored_songs.join(per_title, F.col("SongTitle") == F.col("_title"), "left").select(
         "SongID",
         "SongTitle",
         "SongRank",
-        F.coalesce("_peak", "PeakPosition").alias("PeakPosition"),
-        F.coalesce("_weeks", "WeeksInCharts").alias("WeeksInCharts"),
+        best.cast("int").alias("PeakPosition"),
+        F.greatest("WeeksInCharts", "_weeks").cast("int").alias("WeeksInCharts"),
         "DebutDate",
     )
-    new_titles = rebuilt.join(stored_songs.select("SongTitle"), "SongTitle", "left_anti")
-    inserted = append_with_ids(stored_songs, new_titles, "SongID", model.SONG_ORDER).select(*model.SONG_COLUMNS)
-    return updated.select(*model.SONG_COLUMNS).unionByName(inserted)
+    titles = stored_songs.select(F.col("SongTitle").alias("_stored"))
+    unseen = new_chart.join(titles, F.col("Song") == F.col("_stored"), "left_anti")
+    inserted = append_with_ids(stored_songs, model.song_rows(unseen, peak), "SongID", model.SONG_ORDER)
+    return updated.select(*model.SONG_COLUMNS).unionByName(inserted.select(*model.SONG_COLUMNS))
 
 
 def songs_append_as_written(stored_songs: DataFrame, chart_all: DataFrame, peak: str = "debut") -> DataFrame:
@@ -84,21 +90,20 @@ def songs_append_as_written(stored_songs: DataFrame, chart_all: DataFrame, peak:
     return stored_songs.select(*model.SONG_COLUMNS).unionByName(again.select(*model.SONG_COLUMNS))
 
 
-def artists_insert_if_absent(stored_artists: DataFrame, chart_all: DataFrame) -> DataFrame:
-    names = model.artist_names(chart_all).join(stored_artists.select("ArtistName"), "ArtistName", "left_anti")
-    new = append_with_ids(stored_artists, names, "ArtistID", ["ArtistName"])
-    return stored_artists.select("ArtistID", "ArtistName").unionByName(new.select("ArtistID", "ArtistName"))
+def new_artists(stored_artists: DataFrame, new_chart: DataFrame) -> DataFrame:
+    """Artists of the new rows that aren't stored, with ids after the stored ones."""
+    names = model.artist_names(new_chart).join(stored_artists.select("ArtistName"), "ArtistName", "left_anti")
+    return append_with_ids(stored_artists, names, "ArtistID", ["ArtistName"]).select("ArtistID", "ArtistName")
 
 
-def entries_insert_if_absent(stored_entries: DataFrame, chart_all: DataFrame, songs_now: DataFrame) -> DataFrame:
-    # entries() already yields one candidate per (EntryDate, SongID).
-    cand = model.entries(chart_all, songs_now)
-    return insert_if_absent(stored_entries, cand, ["EntryDate", "SongID"], unique_candidates=True)
+def new_entries(new_chart: DataFrame, songs_now: DataFrame) -> DataFrame:
+    """Entries of the new rows: their dates are newer than every stored one, so no key is
+    stored yet, and entries() yields one row per (EntryDate, SongID)."""
+    return model.entries(new_chart, songs_now)
 
 
-def features_insert_if_absent(
-    stored_features: DataFrame, chart_all: DataFrame, songs_now: DataFrame, artists_now: DataFrame
-) -> DataFrame:
-    # features() already resolves one contribution per (SongID, ArtistID), primary first.
-    cand = model.features(chart_all, songs_now, artists_now)
-    return insert_if_absent(stored_features, cand, ["SongID", "ArtistID"], unique_candidates=True)
+def new_features(stored_features: DataFrame, new_chart: DataFrame, songs_now: DataFrame, artists_now: DataFrame) -> DataFrame:
+    """Contributions of the new rows whose (SongID, ArtistID) isn't stored; features() already
+    resolves one contribution per key, primary first."""
+    key = ["SongID", "ArtistID"]
+    return model.features(new_chart, songs_now, artists_now).join(stored_features.select(*key), key, "left_anti")

@@ -2,20 +2,34 @@
 
 Every stage is written as a Parquet table under ``{root}/{version}/{stage}/{table}``
 and read back for the next stage: the written table cuts lineage (a lost executor
-recomputes from it, not from the scans), and a refresh writes a *new* version
-folder, so no job overwrites files it is reading. Summaries are full-replace
-tables (S8); their row order is applied on read (S13).
+recomputes from it, not from the scans). A refresh writes a *new* version folder with
+what is new (S7); a marker written last lists the versions a version consists of, so a
+refresh that stops midway is never read. Summaries are full-replace tables (S8); their row
+order is applied on read (S13).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hitlist import schemas
 from hitlist.operators import analyses, cleaning, employee, model, quality, upsert
 from hitlist.sources import bootstrap_flagged
 from hitlist.streaming import refresh
 
+CHART_MODEL = {"songs": schemas.SONGS, "artists": schemas.ARTISTS, "entries": schemas.ENTRIES, "features": schemas.FEATURES}
+HR_MODEL = {
+    "department": schemas.DEPARTMENT,
+    "employee": schemas.EMPLOYEE,
+    "support_ratings": schemas.SUPPORT_RATINGS,
+    "total_sales": schemas.TOTAL_SALES,
+}
+#: Table that marks a version as complete.
+MARKER = "complete_version"
+
 CHART_SUMMARIES = {
     "positions_and_longevity_by_debut_month": ["month_number"],
     "positions_and_longevity_by_peak_month": ["month_number"],
@@ -35,11 +49,34 @@ def path(root: str, version: str, stage: str, table: str) -> str:
     return f"{root.rstrip('/')}/{version}/{stage}/{table}"
 
 
-def _store(spark: SparkSession, df: DataFrame, p: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(p)
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns, in order and of the declared types."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _store(spark: SparkSession, df: DataFrame, p: str, schema: T.StructType | None = None) -> DataFrame:
+    (conform(df, schema) if schema else df).write.mode("overwrite").parquet(p)
     return spark.read.parquet(p)
 
 
+def _read(spark: SparkSession, root: str, batches: list[str], stage: str, table: str) -> DataFrame:
+    """A table that is stored in batches: one folder of each version it grew in."""
+    return spark.read.parquet(*[path(root, b, stage, table) for b in batches])
+
+
+def _complete(spark: SparkSession, root: str, version: str, batches: list[str]) -> None:
+    """The marker of a whole version, written last: the versions whose folders it consists of."""
+    spark.createDataFrame([(batches,)], "batches array<string>").write.mode("overwrite").parquet(path(root, version, "source", MARKER))
+
+
+def batches_of(spark: SparkSession, root: str, version: str) -> list[str] | None:
+    """The versions that ``version`` consists of, itself last; None if it isn't complete."""
+    try:
+        return list(spark.read.parquet(path(root, version, "source", MARKER)).first().batches)
+    except AnalysisException:
+        return None
+
+
 def read_summary(spark: SparkSession, root: str, version: str, name: str) -> DataFrame:
     """Read back a summary in its stated order (NULLS LAST, as PostgreSQL)."""
     df = spark.read.parquet(path(root, version, "gold", name))
@@ -66,18 +103,31 @@ def _chart_summaries(spark, root, version, m: dict[str, DataFrame]) -> None:
 def bootstrap(spark: SparkSession, raw: DataFrame, root: str, version: str = "v1", peak: str = "debut") -> dict[str, DataFrame]:
     """Raw load (S2, S3), cleaning (U1-U11), star model (M1-M6), summaries (A1-A3)."""
     stored_raw = _store(spark, bootstrap_flagged(raw), path(root, version, "source", "raw"))
-    clean = _store(spark, cleaning.clean(stored_raw), path(root, version, "source", "clean"))
-    m = _write_model(spark, root, version, model.build(clean, peak))
+    clean = _store(spark, cleaning.clean(stored_raw), path(root, version, "source", "clean"), schemas.CHART_CLEAN)
+    m: dict[str, DataFrame] = {}
+
+    def put(name: str, df: DataFrame) -> None:
+        m[name] = _store(spark, df, path(root, version, "model", name), CHART_MODEL[name])
+
+    # songs and artists first: entries and features reference them (FK order)
+    put("songs", model.songs(clean, peak))
+    put("artists", model.artists(clean))
+    put("entries", model.entries(clean, m["songs"]))
+    put("features", model.features(clean, m["songs"], m["artists"]))
     _chart_summaries(spark, root, version, m)
+    _complete(spark, root, version, [version])
     return {"clean": clean, **m}
 
 
-def _write_model(spark, root, version, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    # songs and artists first: entries and features reference them (FK order)
-    out = {}
-    for name in ["songs", "artists", "entries", "features"]:
-        out[name] = _store(spark, tables[name], path(root, version, "model", name))
-    return out
+def read_chart(spark: SparkSession, root: str, version: str) -> dict[str, DataFrame]:
+    """The cleaned chart and star model of a complete version."""
+    batches = batches_of(spark, root, version)
+    if batches is None:
+        raise FileNotFoundError(f"{root}/{version} is not a complete version")
+    out = {"clean": _read(spark, root, batches, "source", "clean")}
+    for name in ["artists", "entries", "features"]:
+        out[name] = _read(spark, root, batches, "model", name)
+    return out | {"songs": spark.read.parquet(path(root, version, "model", "songs"))}
 
 
 def weekly(
@@ -91,35 +141,41 @@ def weekly(
 ) -> dict[str, DataFrame]:
     """One weekly drop against the stored version ``from_version``.
 
-    S4-S7 + U12 + U13 on the chart, then the star model refreshed by upsert
-    (stored ids kept, new keys appended) and the summaries recomputed. The result
-    is written as ``to_version``.
+    S4-S7 + U12 + U13 on the new rows alone. Chart, artists, entries and features are
+    appended: ``to_version`` holds what is new of them, and its marker lists the versions
+    they consist of, whose files are not touched. Songs change in place (longest run, best
+    peak), so that table is written whole, and the summaries are recomputed.
     """
-    if to_version == from_version:
-        # overwriting Parquet files that the same job reads deletes them first
-        raise ValueError("a refresh writes a new version; to_version must differ from from_version")
-    stored = spark.read.parquet(path(root, from_version, "source", "clean"))
-    old = {n: spark.read.parquet(path(root, from_version, "model", n)) for n in ["songs", "artists", "entries", "features"]}
-    clean = _store(spark, refresh.refresh_source(stored, incoming_raw, standardize_featured), path(root, to_version, "source", "clean"))
-    songs_now = _store(spark, upsert.songs_upsert(old["songs"], clean, peak), path(root, to_version, "model", "songs"))
-    artists_now = _store(spark, upsert.artists_insert_if_absent(old["artists"], clean), path(root, to_version, "model", "artists"))
-    entries_now = _store(
-        spark, upsert.entries_insert_if_absent(old["entries"], clean, songs_now), path(root, to_version, "model", "entries")
-    )
-    features_now = _store(
-        spark,
-        upsert.features_insert_if_absent(old["features"], clean, songs_now, artists_now),
-        path(root, to_version, "model", "features"),
-    )
-    m = {"songs": songs_now, "artists": artists_now, "entries": entries_now, "features": features_now}
+    batches = batches_of(spark, root, from_version)
+    if batches is None:
+        raise FileNotFoundError(f"{root}/{from_version} is not a complete version")
+    if to_version in batches or batches_of(spark, root, to_version) is not None:
+        # overwriting Parquet files that a version consists of would take them from it
+        raise ValueError("a refresh writes a new version; to_version is a complete one already")
+    old = read_chart(spark, root, from_version)
+
+    def put(stage: str, name: str, df: DataFrame, schema: T.StructType) -> DataFrame:
+        return _store(spark, df, path(root, to_version, stage, name), schema)
+
+    fresh = refresh.new_rows(cleaning.typed_weekly(incoming_raw), old["clean"])
+    cleaned = cleaning.flags_reset(cleaning.clean_new_rows(fresh, standardize_featured))
+    new = put("source", "clean", cleaned, schemas.CHART_CLEAN)
+    songs = put("model", "songs", upsert.songs_upsert(old["songs"], new, peak), schemas.SONGS)
+    added = put("model", "artists", upsert.new_artists(old["artists"], new), schemas.ARTISTS)
+    artists = old["artists"].unionByName(added)
+    put("model", "entries", upsert.new_entries(new, songs), schemas.ENTRIES)
+    put("model", "features", upsert.new_features(old["features"], new, songs, artists), schemas.FEATURES)
+    now = [*batches, to_version]
+    m = {n: _read(spark, root, now, "model", n) for n in ["artists", "entries", "features"]} | {"songs": songs}
     _chart_summaries(spark, root, to_version, m)
-    return {"clean": clean, **m}
+    _complete(spark, root, to_version, now)
+    return read_chart(spark, root, to_version)
 
 
 def employees(spark: SparkSession, data: DataFrame, root: str, version: str = "v1") -> dict[str, DataFrame]:
     """Employee model (M7-M10, written in FK order) and summaries A4-A9."""
     tables = employee.build(data)
-    m = {n: _store(spark, tables[n], path(root, version, "hr_model", n)) for n in ["department", "employee", "support_ratings", "total_sales"]}
+    m = {n: _store(spark, tables[n], path(root, version, "hr_model", n), schema) for n, schema in HR_MODEL.items()}
     out = {
         "performance_by_department_analysis": analyses.performance_by_department(m["employee"], m["department"]),
         "performance_by_salary_analysis": analyses.performance_by_salary(m["employee"]),
@@ -146,13 +202,16 @@ def check_chart_model(m: dict[str, DataFrame]) -> DataFrame:
             quality.fk_violations(m["features"], "features", "ArtistID", m["artists"], "ArtistID", "artists"),
             quality.fk_violations(m["entries"], "entries", "SongID", m["songs"], "SongID", "songs"),
             quality.domain_violations(m["features"], "features", "Contribution", ["Primary", "Feature"]),
-            quality.length_violations(m["songs"], "songs", "SongTitle", 200),
-            quality.length_violations(m["artists"], "artists", "ArtistName", 100),
-            quality.length_violations(m["features"], "features", "Contribution", 10),
+            *_lengths(m, ["songs", "artists", "features"]),
+            *([quality.too_long(m["clean"], "chart", schemas.LENGTH_LIMITS["chart"])] if "clean" in m else []),
         ]
     )
 
 
+def _lengths(m: dict[str, DataFrame], tables: list[str]) -> list[DataFrame]:
+    return [quality.too_long(m[t], t, schemas.LENGTH_LIMITS[t]) for t in tables]
+
+
 def check_hr_model(m: dict[str, DataFrame]) -> DataFrame:
     return quality.union_all(
         [
@@ -164,29 +223,37 @@ def check_hr_model(m: dict[str, DataFrame]) -> DataFrame:
             quality.fk_violations(m["employee"], "employee", "Department", m["department"], "DepartmentName", "department"),
             quality.fk_violations(m["support_ratings"], "support_ratings", "EmployeeID", m["employee"], "EmployeeID", "employee"),
             quality.fk_violations(m["total_sales"], "total_sales", "EmployeeID", m["employee"], "EmployeeID", "employee"),
-            quality.length_violations(m["department"], "department", "DepartmentName", 100),
-            quality.length_violations(m["employee"], "employee", "EmployeeName", 100),
+            *_lengths(m, ["department", "employee"]),
         ]
     )
 
 
-def check_stored(spark: SparkSession, root: str, version: str) -> DataFrame:
-    """Q1-Q5 over whatever model tables ``version`` holds (chart and/or employee)."""
-    from pyspark.errors import AnalysisException
-
-    def _read(stage: str, tables: list[str]) -> dict[str, DataFrame] | None:
+def _tables(spark: SparkSession, root: str, version: str, stage: str, names: list[str]) -> dict[str, DataFrame]:
+    """The stored tables of a stage; none if the stage is absent, an error if some are missing."""
+    found, missing = {}, []
+    for name in names:
         try:
-            return {t: spark.read.parquet(path(root, version, stage, t)) for t in tables}
-        except AnalysisException:  # a table of this model is missing
-            return None
+            found[name] = spark.read.parquet(path(root, version, stage, name))
+        except AnalysisException:
+            missing.append(name)
+    if found and missing:
+        raise FileNotFoundError(f"{root}/{version}/{stage}: no table {', '.join(missing)}")
+    return found
+
 
+def check_stored(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """Q1-Q5 over the models that ``version`` holds (chart and/or employee)."""
     checks = []
-    chart = _read("model", ["songs", "artists", "entries", "features"])
-    if chart:
-        checks.append(check_chart_model(chart))
-    hr = _read("hr_model", ["department", "employee", "support_ratings", "total_sales"])
-    if hr:
+    if _tables(spark, root, version, "model", list(CHART_MODEL)):
+        checks.append(check_chart_model(read_chart(spark, root, version)))
+    if hr := _tables(spark, root, version, "hr_model", list(HR_MODEL)):
         checks.append(check_hr_model(hr))
     if not checks:
         raise FileNotFoundError(f"no model tables under {root}/{version}")
     return quality.union_all(checks)
+
+
+def store_check(spark: SparkSession, root: str, version: str) -> tuple[str, int]:
+    """Write every violation of ``version`` below it; the table's path and its row count."""
+    p = path(root, version, "checks", "violations")
+    return p, _store(spark, check_stored(spark, root, version), p).count()

@@ -1,11 +1,11 @@
-"""Session construction and the shared checkpoint folder."""
+"""Session construction and stage tables in the shared folder."""
 
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every pipeline relies on. AQE re-plans joins from measured stage sizes
 # (broadcast only when the materialised side is under the threshold, sort-merge
@@ -16,13 +16,12 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    # remove reliable-checkpoint files once nothing references them, so the shared
-    # checkpoint folder does not grow with every refresh
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hitlist") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hitlist", more: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench (a cluster passes its own session)."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(BASE_CONF)
@@ -35,42 +34,29 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
             "spark.driver.memory": os.environ.get("HITLIST_DRIVER_MEMORY", "8g"),
         }
     )
-    for k, v in conf.items():
+    for k, v in (conf | (more or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable-checkpoint folder, reading it from the session.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that is used as is.
-    Only a local master with nothing configured (tests) gets a fresh scratch folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="hitlist-ckpt-"))
-    return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stage tables, which all executors must see: ``spark.checkpoint.dir``
+    where the session names one, else a folder below the session's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages").rstrip("/")
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+def store(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table below the shared folder and read it back.
 
-    Used at stage boundaries that the reference also stores (raw chart, cleaned
-    chart): later filters cannot be pushed back into the long chain of cleaning
-    projections (which Catalyst would otherwise inline, growing the plan with every
-    rule), the stage is computed once however many branches read it, and a lost
-    executor recomputes from the checkpoint, not from the scans.
+    Used at stage boundaries that several branches read (raw chart, cleaned chart, stored
+    model): the stage is computed once, later filters cannot be pushed back into the long
+    chain of cleaning projections (which Catalyst would otherwise inline, growing the plan
+    with every rule), its columns are pruned and its filters pushed down when it is read, and
+    a lost executor recomputes from the table, not from the scans.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ its first order date the joining date, its order total the sales total.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlist.sources.tables import read_table
+from hitlist.sources.tables import read_csv, read_table
 
 
 def employee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,24 +41,27 @@ def employee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("first_date").alias("DateOfJoining"),
         (k % 23).cast("int").alias("YearsOfExperience"),
         F.col("n_name").alias("Country"),
-        (F.col("c_acctbal").cast("decimal(18,2)") + F.lit(20000)).cast("double").alias("Salary"),
+        # whole thousandths, so that a mean of values fixed to cents first would be wrong
+        (((F.col("c_acctbal").cast("decimal(18,2)") * 1000).cast("long") + 20_000_000 + k % 1000).cast("double") / F.lit(1000.0)).alias(
+            "Salary"
+        ),
         (F.lit(1) + k % 5).cast("int").alias("PerformanceRating"),
         (F.lit(1) + k % 4).cast("int").alias("SupportRating"),
-        # cents / 100 in double arithmetic is the correctly rounded value of the exact
-        # decimal total, as a decimal -> double cast is
+        # thousandths / 1000 in double arithmetic is the correctly rounded value of the
+        # exact decimal, as a decimal -> double cast is
         F.when(k % 5 == 2, F.lit(None).cast("double"))
-        .otherwise(F.col("total_cents").cast("double") / F.lit(100.0))
+        .otherwise((F.col("total_cents") * 10 + k % 7).cast("double") / F.lit(1000.0))
         .alias("TotalSales"),
     )
 
 
-def read_employee_data(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_employee_data(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Employee data from a file: CSV (header, all text) or Parquet, bound by column
     name and cast to the employee-data schema."""
     from hitlist.schemas import EMPLOYEE_DATA
 
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(path)
+        raw = read_csv(spark, path, multi_line)
     else:
         raw = spark.read.format(fmt).load(path)
     return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in EMPLOYEE_DATA.fields])

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from hitlist.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="hitlist-tests")
+    # stage tables go to a scratch folder, as no shared one is configured here
+    shared = tempfile.mkdtemp(prefix="hitlist-tests-")
+    s = local_session("*", shuffle_partitions=8, app="hitlist-tests", more={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

@@ -7,6 +7,7 @@ from hitlist.sources import bootstrap_flagged
 from hitlist.streaming import refresh
 from tests.conftest import chart_frame
 
+# Fixed value: must equal the anchor the rule strips.
 ANCHOR = '<a href="https://www.billboard.com/artist/lil-Nas-x/">'
 
 # (artist in, artist out, featured out (bootstrap), featured out (weekly) or same)

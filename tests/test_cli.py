@@ -22,6 +22,6 @@ def test_cli_flows(spark):
     assert main(["weekly", "--chart", full_csv, "--root", root, "--from", "v1", "--to", "v2"], spark) == 0
     assert main(["employees", "--data", emp_csv, "--root", root, "--version", "v2"], spark) == 0
     assert main(["check", "--root", root, "--version", "v2"], spark) == 0
-    assert spark.read.parquet(pipeline.path(root, "v2", "source", "clean")).count() == raw.count()
+    assert pipeline.read_chart(spark, root, "v2")["clean"].count() == raw.count()
     a9 = pipeline.read_summary(spark, root, "v2", "sales_by_performance_analysis").collect()
     assert [r.performancerating for r in a9] == sorted(r.performancerating for r in a9)

@@ -23,6 +23,12 @@ def test_money_means_are_exact_on_cents(spark):
     assert _mean(spark, [20000.10, 20000.20, 20000.20], money=True, typ="double") == 20000.17
 
 
+def test_money_means_round_once(spark):
+    # each value rounds to 0.00, 0.00, 0.01; their mean is 0.0073
+    assert _mean(spark, [0.004, 0.004, 0.014], money=True, typ="double") == 0.01
+    assert _mean(spark, [-0.004, -0.004, -0.014], money=True, typ="double") == -0.01
+
+
 def test_all_null_group_is_null(spark):
     df = spark.createDataFrame([(1, None), (1, None)], "k int, x int")
     assert df.groupBy("k").agg(avg2("x").alias("m")).first().m is None

@@ -1,7 +1,7 @@
 """SURVEY §5 properties: rebuilds are reproducible and partitioning never changes results."""
 
 from hitlist.operators import cleaning, model
-from hitlist.session import materialize
+from hitlist.session import store
 from hitlist.sources import bootstrap_flagged, chart_rows
 from tests.conftest import SF_SMALL
 
@@ -12,7 +12,7 @@ def _model_rows(spark, clean):
 
 
 def test_rebuild_and_partition_count_invariance(spark):
-    clean = materialize(cleaning.clean(bootstrap_flagged(chart_rows(spark, SF_SMALL))))
+    clean = store(cleaning.clean(bootstrap_flagged(chart_rows(spark, SF_SMALL))))
     first = _model_rows(spark, clean)
     assert first == _model_rows(spark, clean)  # rebuild twice -> same ids and rows
     old = spark.conf.get("spark.sql.shuffle.partitions")

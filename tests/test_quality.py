@@ -14,4 +14,7 @@ def test_checks_find_bad_rows(spark):
     assert dom == ["Lead"]
     long = spark.createDataFrame([("x" * 101,), ("ok",)], "ArtistName string")
     assert quality.length_violations(long, "artists", "ArtistName", 100).count() == 1
+    two = spark.createDataFrame([("x" * 101, "ok"), (None, "y" * 11)], "a string, b string")
+    got = {(r.rule, len(r.value), r.n_rows) for r in quality.too_long(two, "t", {"a": 100, "b": 10}).collect()}
+    assert got == {("length (a) <= 100", 101, 1), ("length (b) <= 10", 11, 1)}
     assert quality.union_all([quality.pk_violations(songs, "songs", ["SongID"])]).columns == quality.VIOLATION_COLUMNS
