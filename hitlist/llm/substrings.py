@@ -9,9 +9,10 @@ a smaller id. Every word such a window covers is removed; windows are judged on
 2. Documents join their shared anchors. Around each, the windows that have it as their anchor
    (the extension to both sides) are hashed word by word.
 3. Windows of an anchor are compared with each other only: the places of an anchor meet in
-   one task, which streams through anchors in sorted order. Anchors with more than
-   ``HEAVY`` places are compared window by window instead, with partial sums before the
-   shuffle, so no task holds a hot anchor.
+   one task, which streams through anchors in sorted order. For anchors with more than
+   ``HEAVY`` places, each task first reduces its windows to the distinct ones with their
+   smallest and largest id, these are merged, and the places are joined with what they then
+   need to know, in chunks of about ``CHUNK`` windows; so no task holds a hot anchor.
 4. Covered places become intervals by document; the words outside are kept.
 
 Decisions need a 64-bit hash of the anchor and one of the window to agree at the same place.
@@ -35,6 +36,8 @@ from hitlist.llm.shared import SPACES, bound_batches, fresh, stage, text_key
 WINDOW, SEED = 50, 12
 #: Places of an anchor that one task may hold.
 HEAVY = 512
+#: Windows that a task reduces at a time, and those that a row of merged ones holds.
+HOLD, CHUNK = 200_000, 1024
 #: Words of a text handled at a time.
 BLOCK = 1 << 20
 
@@ -193,6 +196,67 @@ def _compare(window: int):
     return rows
 
 
+def _distinct(batches):
+    """(anchor, hash, lo, hi): the distinct windows of what a task holds at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    def reduced():
+        table = pa.Table.from_batches(held)
+        lists = table.column("hashes").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        value = lists.flatten().to_numpy()
+        anchor = np.repeat(table.column("anchor").to_numpy(), sizes)
+        doc = np.repeat(table.column("doc_id").to_numpy(), sizes)
+        order = np.lexsort((doc, value, anchor))
+        v, a, d = value[order], anchor[order], doc[order]
+        first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (a[1:] != a[:-1])]))
+        last = np.append(first[1:], len(v)) - 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (a[first], v[first], d[first], d[last])], names=["anchor", "hash", "lo", "hi"]
+        )
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch.column("hashes").flatten())
+        if n >= HOLD:
+            yield reduced()
+            held, n = [], 0
+    if n:
+        yield reduced()
+
+
+def _covered(window: int):
+    """Intervals of places from their windows and a chunk of windows with their smallest id."""
+
+    def rows(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            row, start, end = [], [], []
+            docs, starts = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
+            for i in range(len(batch)):
+                own = batch.column("hashes")[i].values.to_numpy()
+                known = batch.column("known")[i].values
+                hashes, least = known.field("hash").to_numpy(), known.field("lo").to_numpy()
+                hit = np.flatnonzero(np.isin(own, hashes[least < docs[i]]))
+                if len(hit):
+                    first = hit[np.concatenate([[True], np.diff(hit) > 1])]
+                    last = hit[np.concatenate([np.diff(hit) > 1, [True]])]
+                    row += [i] * len(first)
+                    start += (first + starts[i]).tolist()
+                    end += (last + starts[i] + window).tolist()
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(take), batch.column("key").take(take), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                names=["doc_id", "key", "start", "end"],
+            )
+
+    return rows
+
+
 _INTERVALS = "doc_id long, key long, start long, end long"
 
 
@@ -214,10 +278,12 @@ def intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED, heavy: in
         .filter("lo < hi")
         .select("anchor", (F.col("n") > heavy).alias("heavy"))
     )
+    # stored first: a join with what was summed by the same key could not split a hot anchor
+    shared = stage(shared, "shared-anchors")
     marks = places.join(shared, "anchor").groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("place", "heavy")).alias("marks")
     )
-    seeded = stage(mine.join(marks, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "seeded")
+    seeded = stage(mine.join(marks, ["doc_id", "key"]), "seeded")
 
     light = (
         seeded.mapInArrow(_windows(window, seed, False), _WINDOW_ROWS)
@@ -229,13 +295,23 @@ def intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED, heavy: in
         seeded.filter(F.exists("marks", lambda m: m["heavy"])).mapInArrow(_windows(window, seed, True), _WINDOW_ROWS),
         "hot-anchors",
     )
-    each = hot.select("doc_id", "key", "anchor", "start", F.posexplode("hashes").alias("i", "hash"))
-    least = each.groupBy("anchor", "hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+    least = stage(
+        hot.mapInArrow(_distinct, "anchor long, hash long, lo long, hi long")
+        .groupBy("anchor", "hash")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .filter("lo < hi"),
+        "shared-windows",
+    )
+    chunks = stage(least.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks")), "chunks")
+    known = least.join(chunks, "anchor").groupBy("anchor", F.pmod("hash", "chunks").alias("chunk")).agg(
+        F.collect_list(F.struct("hash", "lo")).alias("known")
+    )
     heavy_rows = (
-        each.join(least, ["anchor", "hash"])
-        .filter("doc_id > lo")
-        .select("doc_id", "key", (F.col("start") + F.col("i")).alias("start"))
-        .withColumn("end", F.col("start") + window)
+        hot.join(chunks, "anchor")
+        .withColumn("chunk", F.explode(F.array_distinct(F.transform("hashes", lambda h: F.pmod(h, F.col("chunks"))))))
+        .join(stage(known, "known-windows"), ["anchor", "chunk"])
+        .select("doc_id", "key", "start", "hashes", "known")
+        .mapInArrow(_covered(window), _INTERVALS)
     )
     covered = light.unionByName(heavy_rows).groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("start", "end")).alias("intervals")
@@ -274,6 +350,7 @@ def _kept(docs: DataFrame, digest: bool, **options) -> DataFrame:
         intervals(docs, **options)
         .mapInArrow(_keep(digest), "doc_id long, key long, n_removed long, kept string")
         .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "n_removed", "kept")
+        .dropDuplicates(["_id", "_key"])
     )
 
 
