@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import fresh, stage, text_key
+from hitlist.llm.shared import broadcast_if_small, fresh, stage, text_key
 
 # Titles and first names by gender, syllables by script.
 TITLES = {
@@ -47,26 +47,38 @@ ENDINGS = {
     "greek": {"m": "ς", "f": "η", "": "ου"},
 }
 
-_LOCAL = r"\p{L}\p{N}._%+\-"
+# What counts as part of a word: digits, and letters by their blocks (faster than properties).
+_W = r"0-9A-Za-zÀ-ÖØ-öø-ʯͰ-῿Ⰰ-퟿"
+_LOCAL = _W + r"._%+\-"
 EMAIL = rf"(?<![{_LOCAL}])[{_LOCAL}]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{{2,}}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-IP = rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
-SECRET = (
-    r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])"
-    r"|(?<=(?:token|secret|password|passwd|api_key|api-key|apikey)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_/+\-]{8,128}+"
-)
-CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}+|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7})(?![\p{L}\p{N}])"
+IP = rf"(?<![{_W}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
+HEX = r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])"
+_KEY = r"(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa][Pp][Ii][_\-]?[Kk]ey)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+ASSIGNED = rf"(?<![A-Za-z]){_KEY}[A-Za-z0-9_/+\-]{{8,128}}+"
+CARD = rf"(?<![{_W}])(?:\d{{13,19}}+|\d{{4}}(?:[ \-]\d{{4}}){{2}}[ \-]\d{{1,7}})(?![{_W}])"
 PHONE = (
-    r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)"
-    r"|(?<![\p{L}\p{N}.])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)"
-    r"|(?<![\p{L}\p{N}.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
+    rf"(?<![{_W}+])(?:\+\d{{1,3}}[ .\-]?)?\(\d{{2,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}(?!\d)"
+    rf"|(?<![{_W}.])\+\d{{1,3}}(?:[ .\-]?\d{{2,4}}){{2,4}}(?!\d)"
+    rf"|(?<![{_W}.\-])\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}(?![\d\-])"
 )
-SSN = r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
+SSN = rf"(?<![{_W}\-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d\-])"
 _NAME = r"\p{Lu}\p{Ll}+"
 _TITLE = "(?:" + "|".join(TITLES["m"] + TITLES["f"]) + r")\.?"
 _FIRST = "(?:" + "|".join(FIRST_NAMES["m"] + FIRST_NAMES["f"]) + ")"
-PERSON = rf"(?<!\p{{L}})(?:{_TITLE} {_NAME}(?: {_NAME})?|{_FIRST} {_NAME})(?!\p{{L}})"
-PATTERN = "|".join(f"(?:{p})" for p in (EMAIL, IP, SECRET, CARD, PHONE, SSN, PERSON))
+_CAPITALS = "[" + "".join(sorted({n[0] for names in (*TITLES.values(), *FIRST_NAMES.values()) for n in names})) + "]"
+# the names' first letters come first, so that most places fail at one character
+PERSON = rf"(?={_CAPITALS})(?<![{_W}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_FIRST} {_NAME})(?!\p{{L}})"
+_NUMBERS = "|".join(f"(?:{p})" for p in (IP, CARD, PHONE, SSN))
+PATTERN = rf"(?:{EMAIL})|(?=[0-9(+])(?:{_NUMBERS})|(?:{HEX})|(?=[TtSsPpAa])(?:{ASSIGNED})|(?:{PERSON})"
+
+
+def has_find(text: Column) -> Column:
+    """Whether the pattern matches; texts without a digit, an at sign, a key or a name fail
+    by cheaper searches."""
+    hint = text.rlike("[0-9@]") | text.rlike(rf"(?=[TtSsPpAa]){ASSIGNED}") | text.rlike(PERSON)
+    return F.coalesce(hint & text.rlike(PATTERN), F.lit(False))
+
 
 #: Draws of a replacement before a collision counts as an error.
 DRAWS = 64
@@ -93,10 +105,19 @@ def _parts(match: Column) -> Column:
         first = F.when(titled, (at == 1) & (F.size(words) == 3)).otherwise(at == 0)
         gender = F.when(F.when(titled, men).otherwise(word.isin(FIRST_NAMES["m"])), "m").otherwise("f")
         kind = F.when(titled & (at == 0), F.lit(None)).when(first, F.concat(F.lit("first_"), gender)).otherwise(F.lit("last_"))
-        return F.struct(word.alias("surface"), F.concat(kind, F.lit(" "), _script(word)).alias("type"), F.lower(word).alias("canon"))
-
+        # the space between words belongs to the word before it
+        surface = F.concat(word, F.when(at < F.size(words) - 1, " ").otherwise(""))
+        return F.struct(surface.alias("surface"), F.concat(kind, F.lit(" "), _script(word)).alias("type"), F.lower(word).alias("canon"))
+
+    value = F.regexp_replace(match, f"^{_KEY}", "")
+    prefix = F.substring(match, F.lit(1), F.length(match) - F.length(value))
+    assigned = F.array(
+        F.struct(prefix.alias("surface"), F.lit(None).cast("string").alias("type"), prefix.alias("canon")),
+        F.struct(value.alias("surface"), F.lit("secret").alias("type"), value.alias("canon")),
+    )
     return (
-        F.when(match.contains("@"), single("email", F.lower(match)))
+        F.when(match.rlike(f"^{_KEY}"), assigned)
+        .when(match.contains("@"), single("email", F.lower(match)))
         .when(match.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), single("ip", match))
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), single("ssn", digits))
         .when(match.rlike(r"^[+(]") | match.rlike(r"^\d{3}[.\-]\d{3}[.\-]\d{4}$"), single("phone", digits))
@@ -109,7 +130,7 @@ def _parts(match: Column) -> Column:
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, key, found) of texts with a find: per match, in order, its parts."""
     return (
-        docs.filter(F.col("text").rlike(PATTERN))
+        docs.filter(has_find(F.col("text")))
         .select("doc_id", text_key().alias("key"), F.regexp_extract_all("text", F.lit(PATTERN), 0).alias("matches"))
         .select("doc_id", "key", F.transform("matches", _parts).alias("found"))
     )
@@ -231,7 +252,7 @@ def _render(surface: Column, kind: Column, made: Column) -> Column:
         .when(kind.isin("phone", "card", "ssn"), filled)
         .when(kind == "email", F.when(loud, F.upper(made)).otherwise(made))
         .when(kind.isin("ip", "secret"), made)
-        .otherwise(F.initcap(made))
+        .otherwise(F.concat(F.initcap(made), F.regexp_extract(surface, " $", 0)))
     )
 
 
@@ -258,13 +279,14 @@ def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
         F.col("key").alias(key_),
         F.transform(
             F.sequence(F.lit(0), F.col("n").cast("int") - 1),
-            lambda i: F.array_join(F.transform(F.filter("parts", lambda p: p["i"] == i), lambda p: p["s"]), " "),
+            lambda i: F.array_join(F.transform(F.filter("parts", lambda p: p["i"] == i), lambda p: p["s"]), ""),
         ).alias(new),
         F.col("n").alias(n),
         F.col("types").alias(kinds),
     )
-    by_match = stage(by_match, "pii-replaced")
-    has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
+    long = F.octet_length(F.array_join(new, "")) + 24 * F.size(new) + 150
+    by_match = broadcast_if_small(stage(by_match, "pii-replaced"), long)
+    has = has_find(F.col("text"))
     dirty = docs.filter(has).withColumn(own, text_key()).join(
         by_match, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key_))
     )

@@ -50,6 +50,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: The largest table that is broadcast, by an estimate of its bytes in memory.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(stored: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``stored`` (a stage table) marked for broadcast if its measured size is within the
+    limit; beyond it, Spark's joins by a shuffle remain. Saves shuffling the texts that are
+    joined with a short list of documents."""
+    size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    return F.broadcast(stored) if (stored.agg(F.sum(size)).first()[0] or 0) <= limit else stored
+
+
 def bound_batches(spark: SparkSession, rows: int = 500) -> None:
     """At most ``rows`` rows in an Arrow batch from here on: texts can be long, and a batch is
     held whole by the executor and by its Python worker."""
