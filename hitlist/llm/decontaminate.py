@@ -19,12 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import fresh, stage, text_key
+from hitlist.llm.shared import BROADCAST_BYTES, broadcast_if_small, fresh, stage, text_key
 
 N = 10
-#: The largest table of windows that is broadcast.
-BROADCAST_BYTES = 32 << 20
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_OR_NOT = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
@@ -60,10 +57,9 @@ def _hits(docs: DataFrame, bench: DataFrame, n: int, broadcast_bytes: int) -> Da
     """Per row of (doc_id, text): n_words, rows (how often the row repeats), the hit places as
     (position, size) and the items found."""
     table = stage(item_windows(bench, n), "benchmark-windows")
+    sizes = table.select("size").distinct().collect()  # at most n rows
     per_window = F.octet_length(F.array_join("window", " ")) + F.octet_length(F.array_join("items", " ")) + 100
-    sizes = table.groupBy("size").agg(F.sum(per_window).alias("bytes")).collect()  # at most n rows
-    if sum(r["bytes"] for r in sizes) <= broadcast_bytes:
-        table = F.broadcast(table)
+    table = broadcast_if_small(table, per_window, broadcast_bytes)
     ws = F.col("ws")
 
     def found(size: int) -> Column:
@@ -143,7 +139,7 @@ def remove(
             (F.size("hit_words") <= max_share * F.col("n_words")).alias(mend),
         )
     )
-    hits = stage(hits, "benchmark-hits")
+    hits = broadcast_if_small(stage(hits, "benchmark-hits"), 100 + 4 * F.size(hit))
     joined = docs.withColumn(own, text_key()).join(
         hits, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key)), "left"
     )

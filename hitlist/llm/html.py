@@ -27,13 +27,12 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import bound_batches, stage
+from hitlist.llm.shared import BROADCAST_BYTES, bound_batches, broadcast_if_small, stage
 
 #: A branch below this importance goes; hosts of fewer pages are not judged.
 LOW, MIN_PAGES = 0.2, 8
 #: Weight of the children's importance, to the power of their number.
 GAMMA = 0.9
-BROADCAST_BYTES = 32 << 20
 
 # Elements that hold no text of a page, and words of class names, ids and roles.
 SILENT = {
@@ -284,9 +283,8 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     bound_batches(pages.sparkSession, 200)
     pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of().alias("host"))
     low = stage(low_branches(style_trees(pages)), "low-branches")
-    held = low.agg(F.sum(F.octet_length("host") + 8 * F.size("low") + 64)).first()[0] or 0
-    by_host = low.select(F.col("host").alias("_host"), "low")
-    joined = pages.join(F.broadcast(by_host) if held <= broadcast_bytes else by_host, F.col("host") == F.col("_host"), "left")
+    low = broadcast_if_small(low.withColumnRenamed("host", "_host"), F.octet_length("_host") + 8 * F.size("low") + 64, broadcast_bytes)
+    joined = pages.join(low, F.col("host") == F.col("_host"), "left")
     id_type = pages.schema["page_id"].dataType.simpleString()
     return joined.select("page_id", "url", "html", "low").mapInArrow(
         _texts, f"page_id {id_type}, url string, text string, n_chars long"

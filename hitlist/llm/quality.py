@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlist.llm.shared import SPACES, fresh, stage
+from hitlist.llm.shared import SPACES, broadcast_if_small, fresh, stage
 
 #: Base rules: fewer words than this; more than this share of words in repeated windows.
 MIN_WORDS, MAX_REPEATED = 50, 0.5
@@ -167,11 +167,12 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
 
 def keep_good(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns and nothing shuffled but counts: the
-    rejected hosts are stored first, so the planner knows their size when it picks the join."""
+    rejected hosts are stored first, and broadcast if they are few."""
     failures = rule_failures(metrics(docs, host))
     verdicts = host_verdicts(failures, max_rate).filter("rejected").select("host")
     (name,) = fresh(docs, "rejected")
     rejected = stage(verdicts, "rejected-hosts").select(F.col("host").alias(name))
+    rejected = broadcast_if_small(rejected, 64 + F.coalesce(F.octet_length(name), F.lit(0)))
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def good(ws):
