@@ -49,7 +49,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dict]:
+def compare(spark, sf_dir: str, names: list[str] | None = None, bad_nodes: list[str] = ()) -> dict[str, dict]:
+    """Per query: rows, match, time, error, and which of ``bad_nodes`` its plan has."""
     sys.path.insert(0, ".")
     import __spark_entry__ as E
 
@@ -63,6 +64,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dic
         t = time.time()
         try:
             df = qs[name](spark, sf_dir)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            rec["plan"] = [n for n in bad_nodes if n in plan]
             rows = [tuple(r) for r in df.collect()]
             s = digest(df.columns, rows)
             rec["spark_rows"], rec["spark_sec"] = s[0], round(time.time() - t, 2)
