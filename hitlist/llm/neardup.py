@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hitlist.llm.graph import components
 from hitlist.llm.hashing import run_hashes, word_hashes
-from hitlist.llm.shared import bound_batches, fresh, stage
+from hitlist.llm.shared import bound_batches, broadcast_if_small, fresh, stage
 
 SHINGLE, PERCENT = 5, 80
 TREES, DEPTH, RECALL = 24, 8, 0.9998
@@ -290,7 +290,7 @@ def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: in
     )
     key = ["root", "i", "j"]
     verified = stage(
-        stage(members, "members")
+        broadcast_if_small(stage(members, "members"), 100)
         .join(docs.filter("text IS NOT NULL"), F.col("node") == F.col("doc_id"))
         .select("node", "root", "size", "block", "text", F.explode(pairs).alias("p"))
         .select("node", "root", "size", "block", "text", "p.i", "p.j")
@@ -331,5 +331,5 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Rows without an id stay."""
     (name,) = fresh(docs, "gone")
     gone = links(docs, **options).filter("doc_id != class_id").select(F.col("doc_id").alias(name)).distinct()
-    gone = stage(gone, "near-duplicates")
+    gone = broadcast_if_small(stage(gone, "near-duplicates"), 32)
     return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
