@@ -8,7 +8,9 @@
    reaches ``RECALL``.
 3. Matches join representatives into groups (connected components). Within a group all pairs
    are compared on their whole shingle sets, block against block of at most ``BLOCK``
-   members, and leave counts of links and a spanning forest, never the pairs.
+   members, and leave counts of links and a spanning forest, never the pairs. A group of more
+   than ``GROUP`` members may be a long chain of loosely similar texts; of such, only pairs with
+   a common prefix are compared, prefix by prefix, each in the first tree they share one.
 4. The forests' components are the groups of near duplicates.
 
 The labels are dealt by range of (tree, label, id), so a prefix that a third of all documents
@@ -33,6 +35,8 @@ SHINGLE, PERCENT = 5, 80
 TREES, DEPTH, RECALL = 24, 8, 0.9998
 #: Members of a group that are compared at a time with as many others.
 BLOCK = 256
+#: Members up to which a whole group is compared.
+GROUP = 4096
 
 
 def depth_for(recall: float = RECALL, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH) -> int:
@@ -194,14 +198,15 @@ def _linked(sets: list, percent: int):
     return (100 * common >= percent * union) & (common > 0)
 
 
-def _verify(percent: int):
-    """Streams through members sorted by (root, i, j); per block pair: links of each member
-    and the edges of a spanning forest."""
+def _verify(percent: int, drop: int):
+    """Streams through members sorted by (tree, unit, i, j); per block pair: links of each
+    member and the edges of a spanning forest. A unit is a group (tree -1) or the labels of a
+    tree with a common prefix; ``drop`` bits of a label are not in it."""
 
     def block(members):
         import numpy as np
 
-        own, other = members["i"], members["j"]
+        own, other, tree = members["i"], members["j"], members["tree"][0]
         seen = {}
         for at, node in enumerate(members["node"]):
             seen.setdefault((node, members["text"][at]), at)
@@ -213,6 +218,10 @@ def _verify(percent: int):
         linked &= nodes[:, None] != nodes[None, :]
         if own[0] != other[0]:  # pairs within a block are another pair's task
             linked &= side[:, None] != side[None, :]
+        if tree > 0:  # pairs with a common prefix in an earlier tree are counted there
+            prefix = np.array([members["labels"][k] for k in at], np.int64).view(np.uint64) >> np.uint64(drop)
+            for t in range(tree):
+                linked &= prefix[:, None, t] != prefix[None, :, t]
         texts, docs = linked.sum(axis=1), linked @ weight
         root = np.arange(len(nodes))
         while True:  # the smallest place that can be reached
@@ -233,7 +242,7 @@ def _verify(percent: int):
         current, out = None, []
         for batch in batches:
             columns = batch.to_pydict()
-            for at, key in enumerate(zip(columns["root"], columns["i"], columns["j"])):
+            for at, key in enumerate(zip(columns["tree"], columns["unit"], columns["i"], columns["j"])):
                 if key != current:
                     if held:
                         out += block(held)
@@ -276,27 +285,45 @@ def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: in
         "tree", "label", "node"
     )
     match = depth_for(recall, percent, trees, depth)
-    group = components(candidate_edges(stage(leaves, "leaves"), match, depth))
-
-    blocks = group.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    leaves = stage(leaves, "leaves")
+    group = components(candidate_edges(leaves, match, depth))
+
+    # what is compared: (tree, unit, node), whole groups or prefixes of large ones
+    counted = stage(group.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
+    drop = 8 * (depth - match)
+    sized = group.join(counted, "root")
+    whole = sized.filter(F.col("n") <= GROUP).select(F.lit(-1).alias("tree"), F.col("root").alias("unit"), "node")
+    shared = leaves.join(sized.filter(F.col("n") > GROUP).select("node"), "node").select(
+        "tree", F.call_function("shiftrightunsigned", "label", F.lit(drop)).alias("unit"), "node"
+    )
+    units = stage(whole.unionByName(shared), "units")
+    blocks = units.groupBy("tree", "unit").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    blocks = stage(blocks.select("tree", "unit", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
     sizes = classes.groupBy("text_id").agg(F.sum("n_copies").alias("size"))
+    large = signed.filter("print IS NOT NULL").select(F.col("doc_id").alias("_node"), "labels")
+    large = large.join(sized.filter(F.col("n") > GROUP).select("node"), F.col("_node") == F.col("node"), "left_semi")
+    large = large.dropDuplicates(["_node"])
     members = (
-        group.join(blocks, "root")
+        units.join(blocks, ["tree", "unit"])
         .join(sizes, F.col("node") == F.col("text_id"))
-        .select("node", "root", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+        .join(large, F.col("node") == F.col("_node"), "left")
+        .select(
+            "tree", "unit", "node", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "labels"
+        )
     )
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))
     )
-    key = ["root", "i", "j"]
+    key = ["tree", "unit", "i", "j"]
+    columns = ["tree", "unit", "node", "size", "block", "labels", "text"]
     verified = stage(
-        broadcast_if_small(stage(members, "members"), 100)
+        broadcast_if_small(stage(members, "members"), 100 + F.when(F.col("labels").isNull(), 0).otherwise(8 * trees))
         .join(docs.filter("text IS NOT NULL"), F.col("node") == F.col("doc_id"))
-        .select("node", "root", "size", "block", "text", F.explode(pairs).alias("p"))
-        .select("node", "root", "size", "block", "text", "p.i", "p.j")
+        .select(*columns, F.explode(pairs).alias("p"))
+        .select(*columns, "p.i", "p.j")
         .repartition(*key)
         .sortWithinPartitions(*key)
-        .mapInArrow(_verify(percent), "node long, near long, texts long, docs long"),
+        .mapInArrow(_verify(percent, drop), "node long, near long, texts long, docs long"),
         "links",
     )
     near = components(verified.select(F.col("node").alias("a"), F.col("near").alias("b")))
