@@ -53,6 +53,7 @@ INLINE = {
     "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 MAIN = {"article", "main"}
+HEADING = {"header", "masthead"}
 #: An opening block ends an open paragraph; these end an open one of their own kind.
 SELF_CLOSING = {"li", "dt", "dd", "tr", "td", "th", "option", "p"}
 
@@ -63,6 +64,7 @@ _TOKEN = re.compile(
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.S | re.I,
 )
+_LAYOUT = re.compile(r"(?:has|with|without|no)[-_]")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
@@ -82,15 +84,16 @@ def events(html: str):
         yield 0, "", html[at:]
 
 
-def names(attrs: str) -> tuple[str, bool]:
-    """The classes, sorted, and whether class, id or role name something that isn't content."""
-    classes, noisy = "", False
+def names(attrs: str) -> tuple[str, set[str]]:
+    """The classes, sorted, and the words in class, id and role that name what isn't content.
+    Names of a layout ("has-sidebar") say nothing of the element itself."""
+    classes, noise = "", set()
     for key, a, b, c in _NAMES.findall(attrs):
-        value = (a or b or c).lower()
-        noisy |= any(w in NOISE for w in re.split(r"[^a-z]+", value))
+        own = (a or b or c).lower().split()
+        noise.update(w for name in own if not _LAYOUT.match(name) for w in re.split(r"[^a-z]+", name) if w in NOISE)
         if key.lower() == "class":
-            classes = ".".join(sorted(value.split()))
-    return classes, noisy
+            classes = ".".join(sorted(own))
+    return classes, noise
 
 
 class Node:
@@ -138,11 +141,13 @@ def walk(html: str):
                 break
             if stack[k].tag not in INLINE and stack[k].tag not in SELF_CLOSING:
                 break
-        classes, noisy = names(what) if what.strip() else ("", False)
+        classes, noise = names(what) if what.strip() else ("", set())
         up = stack[-1]
-        noisy = tag in SILENT or (tag == "header" and not up.inside) or (noisy and tag not in {"html", "body", *MAIN})
-        if tag in MAIN and up.inside and names(what)[1]:
-            noisy = True  # an article inside the article: a reader's comment, a teaser
+        if up.inside:  # the heading of the article itself
+            noise -= HEADING
+        noisy = tag in SILENT or (tag == "header" and not up.inside)
+        # an article named so inside the article is a reader's comment or a teaser
+        noisy |= bool(noise) and (up.inside or tag not in {"html", "body", *MAIN})
         path = xxhash.xxh64_intdigest(f"{up.path}>{tag}.{classes}") >> 1
         node = Node(tag, path, up, noisy)
         up.children.append(node)
