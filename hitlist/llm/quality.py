@@ -124,24 +124,17 @@ def host_verdicts(failures: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataF
         F.count(F.lit(1)).alias("n_docs"),
         *(F.sum(F.col(r).cast("long")).alias(r) for r in RULES),
     )
+    hosts = stage(hosts, "hosts")
     n = F.col("n_docs")
-    prior = hosts.agg(
-        *(x for r in RULES for x in (
-            (F.sum(r) / F.sum(n)).alias(f"m_{r}"),
-            (F.sum(F.col(r) * F.col(r) / n) / F.sum(n) - (F.sum(r) / F.sum(n)) ** 2).alias(f"v_{r}"),
-        ))
-    )
-    strength = {
-        r: F.coalesce(
-            F.greatest(F.lit(1.0), F.least(F.lit(1000.0), F.try_divide(F.col(f"m_{r}") * (1 - F.col(f"m_{r}")), F.col(f"v_{r}")) - 1)),
-            F.lit(1000.0),
-        )
-        for r in RULES
-    }
-    # one row, so the join is a broadcast of one row
-    with_prior = hosts.join(F.broadcast(prior))
-    shrunk = {f"shrunk_{r}": (F.col(r) + F.col(f"m_{r}") * strength[r]) / (n + strength[r]) for r in RULES}
-    made = with_prior.select("host", "n_docs", *(c.alias(k) for k, c in shrunk.items()))
+    mean = {r: F.sum(r) / F.sum("n_docs") for r in RULES}
+    spread = {r: F.sum(F.col(r) * F.col(r) / n) / F.sum("n_docs") - mean[r] ** 2 for r in RULES}
+    moments = hosts.agg(*(mean[r].alias(f"m_{r}") for r in RULES), *(spread[r].alias(f"v_{r}") for r in RULES)).first()
+    shrunk = {}
+    for r in RULES:
+        m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
+        strength = max(1.0, min(1000.0, m * (1 - m) / v - 1)) if v else 1000.0
+        shrunk[f"shrunk_{r}"] = (F.col(r) + F.lit(m) * strength) / (n + strength)
+    made = hosts.select("host", "n_docs", *(c.alias(k) for k, c in shrunk.items()))
     return made.withColumn("rejected", F.greatest(*(F.col(k) for k in shrunk)) > max_rate)
 
 
