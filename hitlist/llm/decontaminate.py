@@ -150,19 +150,29 @@ def remove(
 
 
 def cut_words(text: Column, positions: Column) -> Column:
-    """The text without the words at ``positions`` and what stands between two such; a space
-    takes the place of each run."""
+    """The text without the words at ``positions`` (sorted) and what stands between two such
+    neighbours. Words and what is between them alternate, so the text is the array of both
+    without a slice for each run of positions."""
     parts = F.regexp_extract_all(text, F.lit(WORD_OR_NOT), 1)
-    # parts alternate, so the words are every second one; first says which
+    # the place of the first word among the parts
     first = F.when(F.regexp_extract(text, WORD_OR_NOT, 1).rlike(r"^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 0).otherwise(1)
-    cut = F.transform(positions, lambda p: p * 2)
 
-    def kept(ps):
-        def keep(part, i):
-            at = i - first
-            between = (at % 2 != 0) & F.array_contains(cut, at - 1) & F.array_contains(cut, at + 1)
-            return ~F.array_contains(cut, at) & ~between
+    def kept(x: Column) -> Column:
+        ps, shift, at = x["parts"], x["first"], x["at"]
 
-        return F.array_join(F.transform(ps, lambda part, i: F.when(keep(part, i), part).otherwise("")), "")
+        def run_ends(step: int) -> Column:
+            return F.filter(at, lambda p, i: F.coalesce(F.get(at, i + step) != p + step, F.lit(True)))
 
-    return F.element_at(F.transform(F.array(parts), kept), 1)
+        def joined(runs: Column) -> Column:
+            def segment(k: Column) -> Column:
+                begin = F.coalesce(2 * F.get(runs["last"], k - 1) + shift + 1, F.lit(0))
+                end = F.coalesce(2 * F.get(runs["first"], k) + shift, F.size(ps))
+                return F.array_join(F.slice(ps, begin + 1, end - begin), "")
+
+            return F.array_join(F.transform(F.sequence(F.lit(0), F.size(runs["first"])), segment), "")
+
+        runs = F.array(F.struct(run_ends(-1).alias("first"), run_ends(1).alias("last")))
+        return F.element_at(F.transform(runs, joined), 1)
+
+    once = F.array(F.struct(parts.alias("parts"), first.alias("first"), positions.alias("at")))
+    return F.element_at(F.transform(once, kept), 1)
