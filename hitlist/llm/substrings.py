@@ -11,8 +11,9 @@ a smaller id. Every word such a window covers is removed; windows are judged on
 3. Windows of an anchor are compared with each other only: the places of an anchor meet in
    one task, which streams through anchors in sorted order. For anchors with more than
    ``HEAVY`` places, each task first reduces its windows to the distinct ones with their
-   smallest and largest id, these are merged, and the places are joined with what they then
-   need to know, in chunks of about ``CHUNK`` windows; so no task holds a hot anchor.
+   smallest and largest id, these are merged, and the places are dealt to tasks with what
+   they need to know of them, in chunks of about ``CHUNK`` windows and salts of ``SALTED``
+   places; so no task holds a hot anchor.
 4. Covered places become intervals by document; the words outside are kept.
 
 Decisions need a 64-bit hash of the anchor and one of the window to agree at the same place.
@@ -36,8 +37,10 @@ from hitlist.llm.shared import SPACES, bound_batches, fresh, stage, text_key
 WINDOW, SEED = 50, 12
 #: Places of an anchor that one task may hold.
 HEAVY = 512
-#: Windows that a task reduces at a time, and those that a row of merged ones holds.
+#: Windows that a task reduces at a time, and those that a row of merged ones holds about.
 HOLD, CHUNK = 200_000, 1024
+#: Places of a hot anchor that go to one task.
+SALTED = 20_000
 #: Words of a text handled at a time.
 BLOCK = 1 << 20
 
@@ -228,26 +231,34 @@ def _distinct(batches):
 
 
 def _covered(window: int):
-    """Intervals of places from their windows and a chunk of windows with their smallest id."""
+    """Streams through rows sorted so that a chunk of windows, with their smallest ids, comes
+    before the places that are looked up in it: intervals of the places."""
 
     def rows(batches):
         import numpy as np
         import pyarrow as pa
 
+        current, known, least = None, None, None
         for batch in batches:
-            row, start, end = [], [], []
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("anchor", "chunk", "salt"))))
             docs, starts = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
-            for i in range(len(batch)):
-                own = batch.column("hashes")[i].values.to_numpy()
-                known = batch.column("known")[i].values
-                hashes, least = known.field("hash").to_numpy(), known.field("lo").to_numpy()
-                hit = np.flatnonzero(np.isin(own, hashes[least < docs[i]]))
-                if len(hit):
-                    first = hit[np.concatenate([[True], np.diff(hit) > 1])]
-                    last = hit[np.concatenate([np.diff(hit) > 1, [True]])]
-                    row += [i] * len(first)
-                    start += (first + starts[i]).tolist()
-                    end += (last + starts[i] + window).tolist()
+            row, start, end = [], [], []
+            for i, key in enumerate(keys):
+                chunk = batch.column("known")[i]
+                if chunk.is_valid:
+                    known, least = (chunk.values.field(c).to_numpy() for c in ("hash", "lo"))
+                    order = np.argsort(known)
+                    current, known, least = key, known[order], least[order]
+                elif key == current:
+                    own = batch.column("hashes")[i].values.to_numpy()
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    hit = np.flatnonzero((known[at] == own) & (least[at] < docs[i]))
+                    if len(hit):
+                        gap = np.diff(hit) > 1
+                        first, last = hit[np.append(True, gap)], hit[np.append(gap, True)]
+                        row += [i] * len(first)
+                        start += (first + starts[i]).tolist()
+                        end += (last + starts[i] + window).tolist()
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("key").take(take), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
@@ -302,15 +313,31 @@ def intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED, heavy: in
         .filter("lo < hi"),
         "shared-windows",
     )
-    chunks = stage(least.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks")), "chunks")
-    known = least.join(chunks, "anchor").groupBy("anchor", F.pmod("hash", "chunks").alias("chunk")).agg(
-        F.collect_list(F.struct("hash", "lo")).alias("known")
+    # per hot anchor: into how many chunks its windows go, and its places into how many salts
+    parts = stage(
+        least.groupBy("anchor")
+        .agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks"))
+        .join(hot.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("long").alias("salts")), "anchor"),
+        "hot-parts",
     )
-    heavy_rows = (
-        hot.join(chunks, "anchor")
+    place = ["doc_id", "key", "start", "hashes"]
+    known = (
+        least.join(parts, "anchor")
+        .groupBy("anchor", "salts", F.pmod("hash", "chunks").alias("chunk"))
+        .agg(F.collect_list(F.struct("hash", "lo")).alias("known"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+        .select("anchor", "chunk", "salt", "known")
+    )
+    looked_up = (
+        hot.join(parts, "anchor")
         .withColumn("chunk", F.explode(F.array_distinct(F.transform("hashes", lambda h: F.pmod(h, F.col("chunks"))))))
-        .join(stage(known, "known-windows"), ["anchor", "chunk"])
-        .select("doc_id", "key", "start", "hashes", "known")
+        .select("anchor", "chunk", F.pmod(F.xxhash64("doc_id", "key", "start"), "salts").alias("salt"), *place)
+    )
+    order = ["anchor", "chunk", "salt"]
+    heavy_rows = (
+        looked_up.unionByName(known, allowMissingColumns=True)
+        .repartition(*order)
+        .sortWithinPartitions(*order, F.col("known").isNull())
         .mapInArrow(_covered(window), _INTERVALS)
     )
     covered = light.unionByName(heavy_rows).groupBy("doc_id", "key").agg(
