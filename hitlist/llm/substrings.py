@@ -40,7 +40,7 @@ HEAVY = 512
 #: Windows that a task reduces at a time, and those that a row of merged ones holds about.
 HOLD, CHUNK = 200_000, 1024
 #: Places of a hot anchor that go to one task.
-SALTED = 20_000
+SALTED = 4_000
 #: Words of a text handled at a time.
 BLOCK = 1 << 20
 
@@ -243,14 +243,16 @@ def _covered(window: int):
             keys = list(zip(*(batch.column(c).to_pylist() for c in ("anchor", "chunk", "salt"))))
             docs, starts = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
             row, start, end = [], [], []
+            chunks, lists = batch.column("known"), batch.column("hashes")
+            is_chunk = chunks.is_valid().to_numpy(zero_copy_only=False)
+            hashes, cuts = lists.values.to_numpy(), lists.offsets.to_pylist()
             for i, key in enumerate(keys):
-                chunk = batch.column("known")[i]
-                if chunk.is_valid:
-                    known, least = (chunk.values.field(c).to_numpy() for c in ("hash", "lo"))
+                if is_chunk[i]:
+                    known, least = (chunks[i].values.field(c).to_numpy() for c in ("hash", "lo"))
                     order = np.argsort(known)
                     current, known, least = key, known[order], least[order]
                 elif key == current:
-                    own = batch.column("hashes")[i].values.to_numpy()
+                    own = hashes[cuts[i] : cuts[i + 1]]
                     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     hit = np.flatnonzero((known[at] == own) & (least[at] < docs[i]))
                     if len(hit):
