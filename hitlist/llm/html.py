@@ -6,10 +6,12 @@
 2. Importance, by entropy to the base of the number of pages: a path's presentation matters if
    its styles vary, its content if its texts are not the same on page after page. A branch's
    importance is that of its presentation and its children's, weighted as the tree is deep.
-3. A page loses the branches of low importance, and, whatever the host, what its tags and
-   class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-   or reader comments. The article (or main) element itself is never cut for its importance,
-   so a passage that many pages share stays; where a page has one, what is outside goes.
+3. A page loses the branches that are of low importance together with all their own branches,
+   and, whatever the host, what its tags and class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
+   or reader comments. What holds the article (or main) element is never cut for its
+   importance, and neither is the element itself, so a passage that many pages share stays;
+   where a page has one, what is outside goes. A page that would lose all its text so (a host
+   of copies) is judged by its names alone.
 
 The branches of low importance are joined to the pages by host: broadcast if their measured
 size is below ``BROADCAST_BYTES``, else by a shuffle.
@@ -158,9 +160,16 @@ def walk(html: str):
 def main_text(html: str, low: frozenset = frozenset()) -> str:
     """The text of a page without the branches that are noisy or whose path is in ``low``."""
     kept, inside = [], []
-    for node, text in walk(html):
+    places, holders = list(walk(html)), set()  # what has the article below it
+    for node, text in places:
+        up = node.parent if text is None and node.main else None
+        while up and up not in holders:
+            holders.add(up)
+            up = up.parent
+    for node, text in places:
         if text is None:
-            node.cut = node.noisy or bool(node.parent and node.parent.cut) or (node.path in low and not node.inside)
+            low_here = node.path in low and not node.inside and node not in holders
+            node.cut = node.noisy or bool(node.parent and node.parent.cut) or low_here
         elif text == " ":
             kept.append(text)
             inside.append(text)
@@ -168,8 +177,8 @@ def main_text(html: str, low: frozenset = frozenset()) -> str:
             kept.append(text)
             if node.inside:
                 inside.append(text)
-    article = " ".join("".join(inside).split())
-    return article or " ".join("".join(kept).split())
+    text = " ".join("".join(inside).split()) or " ".join("".join(kept).split())
+    return text if text or not low else main_text(html)
 
 
 def _page_rows(host: str, html: str):
@@ -247,6 +256,7 @@ def _low_branches(tree):
         order.append(waiting.pop())
         waiting += below.get(order[-1], [])
     value: dict[int, float] = {}
+    all_low: dict[int, bool] = {}  # the path and all below it
     for p in reversed(order):
         _, _, style, text = rows[p]
         parts = [value[c] for c in below.get(p, [])] + ([text] if text is not None else [])
@@ -255,7 +265,8 @@ def _low_branches(tree):
             value[p] = (1 - weight) * style + weight * sum(parts) / len(parts)
         else:
             value[p] = 1.0
-    low = [p for p in order if value[p] < LOW and rows[p][1] >= MIN_PAGES]
+        all_low[p] = value[p] < LOW and all(all_low[c] for c in below.get(p, []))
+    low = [p for p in order if all_low[p] and rows[p][1] >= MIN_PAGES]
     return pa.table({"host": pa.array([columns["host"][0]], pa.string()), "low": pa.array([low], pa.list_(pa.int64()))})
 
 

@@ -209,6 +209,28 @@ def test_op7_cuts_what_is_not_content(spark):
     assert got == {i: f"own {i} text {i * i} here" for i in range(20)}
 
 
+def extracted(spark, pages):
+    from hitlist.llm.html import extract
+
+    rows = [(i, f"http://h.example/{i}", page) for i, page in enumerate(pages)]
+    return [r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_op7_constant_siblings_and_copies(spark):
+    # the siblings are constant, without names that tell; body's value falls, its article stays
+    around = "<div class=top>site name</div><div class=mid>links here</div><div class=low>more links</div>"
+    own = [f"<h1>title {i}</h1><p>own text {i * i} of page {i}</p>" for i in range(20)]
+    want = [f"title {i} own text {i * i} of page {i}" for i in range(20)]
+    for tag in ("article", "div"):
+        assert extracted(spark, [f"<body>{around}<{tag}>{x}</{tag}><div class=end>end</div></body>" for x in own]) == want
+    names = "<nav>menu</nav><header>site</header><footer>foot</footer>"
+    assert extracted(spark, [f"<body>{names}<article>{x}</article></body>" for x in own]) == want
+    assert extracted(spark, [f"<body>{names}<div>{x}</div></body>" for x in own]) == want
+    # a host of copies
+    for tag in ("article", "div"):
+        assert extracted(spark, [f"<body>{names}<{tag}>{own[3]}</{tag}></body>"] * 12) == [want[3]] * 12
+
+
 def test_op8(spark):
     turns = {}
     rows = [*read("conversations", "conv_id, turn, role, text"), (-7, 0, "user", queries.CONTROL_TEXT), (-7, 1, "assistant", queries.CONTROL_TEXT)]
