@@ -1,11 +1,13 @@
 """Main text of web pages by a site style tree.
 
 1. Every page becomes a tree of elements. Those of a host are merged by their path (tags and
-   classes from the root): per path, how many pages have it, the ways its children follow each
+   classes from the root, numbers in classes taken as the same): per path, how many pages have it, the ways its children follow each
    other (its styles) and the texts directly in it.
 2. Importance, by entropy to the base of the number of pages: a path's presentation matters if
    its styles vary, its content if its texts are not the same on page after page. A branch's
-   importance is that of its presentation and its children's, weighted as the tree is deep.
+   importance is that of its presentation and its children's, weighted as the tree is deep;
+   it is computed by joins and aggregates on host and parent, from the deepest level up.
+   Elements below ``MAX_DEPTH`` count as children of the one at that depth, as in browsers.
 3. A page loses the branches that are of low importance together with all their own branches,
    and, whatever the host, what its tags and class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
    or reader comments. What holds the article (or main) element is never cut for its
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,8 @@ from hitlist.llm.shared import BROADCAST_BYTES, bound_batches, broadcast_if_smal
 LOW, MIN_PAGES = 0.2, 8
 #: Weight of the children's importance, to the power of their number.
 GAMMA = 0.9
+#: Levels of a style tree; also bounds the rounds of ``low_branches``.
+MAX_DEPTH = 64
 
 # Elements that hold no text of a page, and words of class names, ids and roles.
 SILENT = {
@@ -66,6 +71,7 @@ _TOKEN = re.compile(
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.S | re.I,
 )
+_NUMBER = re.compile(r"[0-9]+")
 _LAYOUT = re.compile(r"(?:has|with|without|no)[-_]")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
@@ -87,22 +93,24 @@ def events(html: str):
 
 
 def names(attrs: str) -> tuple[str, set[str]]:
-    """The classes, sorted, and the words in class, id and role that name what isn't content.
+    """The classes, sorted, each number in them as 0, and the words in class, id and role that name what isn't content.
     Names of a layout ("has-sidebar") say nothing of the element itself."""
     classes, noise = "", set()
     for key, a, b, c in _NAMES.findall(attrs):
         own = (a or b or c).lower().split()
         noise.update(w for name in own if not _LAYOUT.match(name) for w in re.split(r"[^a-z]+", name) if w in NOISE)
         if key.lower() == "class":
-            classes = ".".join(sorted(own))
+            classes = ".".join(sorted({_NUMBER.sub("0", name) for name in own}))
     return classes, noise
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "children", "texts", "noisy", "main", "inside", "cut")
+    __slots__ = ("tag", "path", "parent", "above", "depth", "children", "texts", "noisy", "main", "inside", "cut")
 
-    def __init__(self, tag: str, path: int, parent: "Node | None", noisy: bool):
-        self.tag, self.path, self.parent = tag, path, parent
+    def __init__(self, tag: str, path: int, parent: "Node | None", noisy: bool, above: "Node | None" = None):
+        """``above`` is the parent in the style tree."""
+        self.tag, self.path, self.parent, self.above = tag, path, parent, above
+        self.depth = above.depth + 1 if above else 0
         self.children: list[Node] = []
         self.texts: list[str] = []
         self.noisy = bool(parent and parent.noisy) or noisy
@@ -150,9 +158,10 @@ def walk(html: str):
         noisy = tag in SILENT or (tag == "header" and not up.inside)
         # an article named so inside the article is a reader's comment or a teaser
         noisy |= bool(noise) and (up.inside or tag not in {"html", "body", *MAIN})
-        path = xxhash.xxh64_intdigest(f"{up.path}>{tag}.{classes}") >> 1
-        node = Node(tag, path, up, noisy)
-        up.children.append(node)
+        above = up if up.depth < MAX_DEPTH else up.above
+        path = xxhash.xxh64_intdigest(f"{above.path}>{tag}.{classes}") >> 1
+        node = Node(tag, path, up, noisy, above)
+        above.children.append(node)
         stack.append(node)
         yield node, None
 
@@ -182,8 +191,8 @@ def main_text(html: str, low: frozenset = frozenset()) -> str:
 
 
 def _page_rows(host: str, html: str):
-    """(host, path, parent, n_children, kind, feature, n): kind 0 counts styles, 1 texts, 2 the
-    page itself."""
+    """(host, path, parent, depth, kind, feature, n): kind 0 counts styles, 1 texts, 2 the page
+    itself."""
     import xxhash
 
     nodes, counts = [], {}
@@ -194,7 +203,7 @@ def _page_rows(host: str, html: str):
             node.texts.append(" ".join(text.split()))
     for node in nodes:
         style = "".join(f"{c.path}," for c in node.children)
-        place = node.path, node.parent.path if node.parent else -1
+        place = node.path, node.above.path if node.above else -1, node.depth
         for kind, feature in [(0, style)] + [(1, t) for t in node.texts]:
             key = (*place, kind, xxhash.xxh64_intdigest(feature) >> 1)
             counts[key] = counts.get(key, 0) + 1
@@ -205,8 +214,8 @@ def _page_rows(host: str, html: str):
 def _features(batches):
     import pyarrow as pa
 
-    names_ = ["host", "path", "parent", "kind", "feature", "n"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    names_ = ["host", "path", "parent", "depth", "kind", "feature", "n"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     for batch in batches:
         rows = [r for h, page in zip(batch.column("host"), batch.column("html")) for r in _page_rows(h.as_py(), page.as_py() or "")]
         if rows:
@@ -214,15 +223,15 @@ def _features(batches):
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
-    """(host, path, parent, pages, style_importance, text_importance): the merged trees."""
+    """(host, path, parent, depth, pages, style_importance, text_importance): the merged trees."""
     each = pages.filter("host IS NOT NULL").select("host", "html").mapInArrow(
-        _features, "host string, path long, parent long, kind int, feature long, n long"
+        _features, "host string, path long, parent long, depth int, kind int, feature long, n long"
     )
-    by_feature = each.groupBy("host", "path", "parent", "kind", "feature").agg(
+    by_feature = each.groupBy("host", "path", "parent", "depth", "kind", "feature").agg(
         F.sum("n").alias("c"), F.sum(F.col("n") * F.log("n")).alias("c_log_c"), F.count(F.lit(1)).alias("pages")
     )
     style, words = F.col("kind") == 0, F.col("kind") == 1
-    by_path = by_feature.groupBy("host", "path", "parent").agg(
+    by_path = by_feature.groupBy("host", "path", "parent", "depth").agg(
         F.max(F.when(F.col("kind") == 2, F.col("pages"))).alias("pages"),
         F.sum(F.when(style, F.col("c"))).alias("c"),
         F.sum(F.when(style, F.col("c") * F.log("c"))).alias("c_log_c"),
@@ -233,6 +242,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
         "host",
         "path",
         "parent",
+        "depth",
         "pages",
         F.when(F.col("pages") > 1, (F.log("c") - F.col("c_log_c") / F.col("c")) / base).otherwise(1.0).alias("style_importance"),
         F.when(F.col("pages") > 1, 1 - F.col("spread") / base)
@@ -241,38 +251,42 @@ def style_trees(pages: DataFrame) -> DataFrame:
     )
 
 
-def _low_branches(tree):
-    """(host, low): paths of a host whose branch is of low importance."""
-    import pyarrow as pa
-
-    columns = tree.to_pydict()
-    rows = {p: (up, n, s, t) for p, up, n, s, t in zip(*(columns[c] for c in ("path", "parent", "pages", "style_importance", "text_importance")))}
-    below: dict[int, list[int]] = {}
-    for p, (up, *_) in rows.items():
-        below.setdefault(up, []).append(p)
-    # children before parents, without recursion: trees can be deep
-    order, waiting = [], [p for p, r in rows.items() if r[0] not in rows]
-    while waiting:
-        order.append(waiting.pop())
-        waiting += below.get(order[-1], [])
-    value: dict[int, float] = {}
-    all_low: dict[int, bool] = {}  # the path and all below it
-    for p in reversed(order):
-        _, _, style, text = rows[p]
-        parts = [value[c] for c in below.get(p, [])] + ([text] if text is not None else [])
-        if parts:
-            weight = GAMMA ** len(parts)
-            value[p] = (1 - weight) * style + weight * sum(parts) / len(parts)
-        else:
-            value[p] = 1.0
-        all_low[p] = value[p] < LOW and all(all_low[c] for c in below.get(p, []))
-    low = [p for p in order if all_low[p] and rows[p][1] >= MIN_PAGES]
-    return pa.table({"host": pa.array([columns["host"][0]], pa.string()), "low": pa.array([low], pa.list_(pa.int64()))})
-
-
 def low_branches(trees: DataFrame) -> DataFrame:
-    """(host, low) from merged trees; a group is a host's distinct paths, not its pages."""
-    return trees.groupBy("host").applyInArrow(_low_branches, "host string, low array<long>").filter(F.size("low") > 0)
+    """(host, low) from merged trees: paths whose branch is of low importance, all below them too.
+
+    What only one page has is of importance 1 and so is all below it; of such paths, only their
+    number by parent is needed. The others are rated a level at a time, the deepest first."""
+    trees = stage(trees, "style-trees")
+    once = trees.filter("pages = 1").groupBy(F.col("host").alias("_host"), F.col("parent").alias("_parent"))
+    nodes = trees.filter("pages > 1").join(
+        once.agg(F.count(F.lit(1)).alias("once")), (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_parent")), "left"
+    )
+    nodes = nodes.select(*trees.columns, F.coalesce("once", F.lit(0)).alias("once"))
+    nodes = stage(nodes.sortWithinPartitions("depth"), "style-nodes")
+    deepest = nodes.agg(F.max("depth")).first()[0]
+    text, levels, below = F.col("text_importance"), [], None
+    for depth in range(deepest if deepest is not None else -1, -1, -1):
+        level = nodes.filter(F.col("depth") == depth)
+        if below is None:
+            level = level.withColumns({"n": F.lit(0), "total": F.lit(0.0), "all_low": F.lit(True)})
+        else:
+            level = level.join(below, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_parent")), "left")
+        n_parts = F.coalesce("n", F.lit(0)) + F.col("once") + text.isNotNull().cast("int")
+        mean = (F.coalesce("total", F.lit(0.0)) + F.col("once") + F.coalesce(text, F.lit(0.0))) / n_parts
+        weight = F.pow(F.lit(GAMMA), n_parts)
+        value = F.when(n_parts > 0, (1 - weight) * F.col("style_importance") + weight * mean).otherwise(1.0)
+        rated = level.withColumn("value", value).select(
+            "host", "path", "parent", "pages", "value",
+            ((F.col("value") < LOW) & (F.col("once") == 0) & F.coalesce("all_low", F.lit(True))).alias("low"),
+        )
+        levels.append(stage(rated, "style-level"))
+        below = levels[-1].groupBy(F.col("host").alias("_host"), F.col("parent").alias("_parent")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.min("low").alias("all_low")
+        )
+    if not levels:
+        return nodes.select("host", F.array("path").alias("low"))
+    low = reduce(DataFrame.union, levels).filter(F.col("low") & (F.col("pages") >= MIN_PAGES))
+    return low.groupBy("host").agg(F.collect_list("path").alias("low"))
 
 
 def _texts(batches):

@@ -231,6 +231,25 @@ def test_op7_constant_siblings_and_copies(spark):
         assert extracted(spark, [f"<body>{names}<{tag}>{own[3]}</{tag}></body>"] * 12) == [want[3]] * 12
 
 
+def test_op7_numbers_in_class_names(spark):
+    page = "<body class='single postid-{0}'><div class=top>same on all</div><div class='post post-{0}'><p>own {0}<p>text {1}</div></body>"
+    assert extracted(spark, [page.format(i, i * i) for i in range(20)]) == [f"own {i} text {i * i}" for i in range(20)]
+    deep = "<div class=top>same</div>" + "<b>" * 5000 + "own {0}"
+    assert extracted(spark, [deep.format(i) for i in range(10)]) == [f"own {i}" for i in range(10)]
+
+
+def test_op7_trees_without_a_group_a_host(spark):
+    from hitlist.llm.html import low_branches
+
+    # (path, parent, depth, pages, style, text): 2 is low with its child, 4 has a branch of one page
+    tree = [(0, -1, 0, 9, 0.0, None), (1, 0, 1, 9, 0.0, None), (2, 1, 2, 9, 0.0, 0.1), (3, 2, 3, 9, 0.1, 0.1),
+            (4, 1, 2, 9, 0.0, 0.0), (5, 4, 3, 1, 1.0, 1.0), (6, 1, 2, 9, 0.0, 0.0), (7, 1, 2, 5, 0.0, 0.0)]
+    df = spark.createDataFrame([("h", *r) for r in tree], "host string, path long, parent long, depth int, pages long, style_importance double, text_importance double")
+    low = low_branches(df)
+    assert {r.host: sorted(r.low) for r in low.collect()} == {"h": [2, 3, 6]}
+    assert "FlatMapGroups" not in low._jdf.queryExecution().toString()
+
+
 def test_op8(spark):
     turns = {}
     rows = [*read("conversations", "conv_id, turn, role, text"), (-7, 0, "user", queries.CONTROL_TEXT), (-7, 1, "assistant", queries.CONTROL_TEXT)]
