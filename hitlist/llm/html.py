@@ -10,10 +10,13 @@
    Elements below ``MAX_DEPTH`` count as children of the one at that depth, as in browsers.
 3. A page loses the branches that are of low importance together with all their own branches,
    and, whatever the host, what its tags and class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-   or reader comments. What holds the article (or main) element is never cut for its
-   importance, and neither is the element itself, so a passage that many pages share stays;
-   where a page has one, what is outside goes. A page that would lose all its text so (a host
-   of copies) is judged by its names alone.
+   or reader comments. The style tree decides inside the article (or main) element as outside;
+   inside, the square root of the importance counts, which raises it. What holds the element
+   is never cut for its importance. Of a page whose article is most of its text and would lose
+   most of it so (near copies), the article stays whole, and a page that would lose all its
+   text (a host of copies) is judged by its names alone.
+4. Where the article has most of the text that is left, what is outside goes, except a first-level
+   heading; elsewhere (a teaser, a quote) the article is a branch like others.
 
 The branches of low importance are joined to the pages by host: broadcast if their measured
 size is below ``BROADCAST_BYTES``, else by a shuffle.
@@ -105,7 +108,7 @@ def names(attrs: str) -> tuple[str, set[str]]:
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "above", "depth", "children", "texts", "noisy", "main", "inside", "cut")
+    __slots__ = ("tag", "path", "parent", "above", "depth", "children", "texts", "noisy", "main", "inside", "title", "cut")
 
     def __init__(self, tag: str, path: int, parent: "Node | None", noisy: bool, above: "Node | None" = None):
         """``above`` is the parent in the style tree."""
@@ -116,6 +119,7 @@ class Node:
         self.noisy = bool(parent and parent.noisy) or noisy
         self.main = tag in MAIN and not self.noisy
         self.inside = self.main or bool(parent and parent.inside)
+        self.title = tag == "h1" or bool(parent and parent.title)
         self.cut = False
 
 
@@ -168,7 +172,6 @@ def walk(html: str):
 
 def main_text(html: str, low: frozenset = frozenset()) -> str:
     """The text of a page without the branches that are noisy or whose path is in ``low``."""
-    kept, inside = [], []
     places, holders = list(walk(html)), set()  # what has the article below it
     for node, text in places:
         up = node.parent if text is None and node.main else None
@@ -177,28 +180,40 @@ def main_text(html: str, low: frozenset = frozenset()) -> str:
             up = up.parent
     for node, text in places:
         if text is None:
-            low_here = node.path in low and not node.inside and node not in holders
-            node.cut = node.noisy or bool(node.parent and node.parent.cut) or low_here
-        elif text == " ":
-            kept.append(text)
-            inside.append(text)
-        elif not node.cut:
-            kept.append(text)
-            if node.inside:
-                inside.append(text)
-    text = " ".join("".join(inside).split()) or " ".join("".join(kept).split())
-    return text if text or not low else main_text(html)
+            node.cut = bool(node.parent and node.parent.cut) or (node.path in low and node not in holders)
+
+    def text_of(chosen) -> str:
+        kept = (t for n, t in places if t is not None and (t == " " or not n.noisy and chosen(n)))
+        return " ".join("".join(kept).split())
+
+    whole, article = text_of(lambda n: True), text_of(lambda n: n.inside)
+    if low:
+        left, left_article = text_of(lambda n: not n.cut), text_of(lambda n: n.inside and not n.cut)
+        if 2 * len(article) > len(whole) and 2 * len(left_article) < len(article):
+            for node, text in places:
+                node.cut = node.cut and not node.inside
+            left, left_article = text_of(lambda n: not n.cut), article
+        if left:
+            whole, article = left, left_article
+        else:
+            for node, text in places:
+                node.cut = False
+    if 2 * len(article) <= len(whole):
+        return whole
+    return text_of(lambda n: not n.cut and (n.inside or n.title))
 
 
 def _page_rows(host: str, html: str):
     """(host, path, parent, depth, kind, feature, n): kind 0 counts styles, 1 texts, 2 the page
-    itself."""
+    itself, with feature 1 inside the article."""
     import xxhash
 
-    nodes, counts = [], {}
+    nodes, counts, inside = [], {}, set()
     for node, text in walk(html):
         if text is None:
             nodes.append(node)
+            if node.inside:
+                inside.add(node.path)
         elif text.strip():
             node.texts.append(" ".join(text.split()))
     for node in nodes:
@@ -207,7 +222,7 @@ def _page_rows(host: str, html: str):
         for kind, feature in [(0, style)] + [(1, t) for t in node.texts]:
             key = (*place, kind, xxhash.xxh64_intdigest(feature) >> 1)
             counts[key] = counts.get(key, 0) + 1
-        counts[(*place, 2, 0)] = 1
+        counts[(*place, 2, int(node.path in inside))] = 1
     return [(host, *key, n) for key, n in counts.items()]
 
 
@@ -223,7 +238,7 @@ def _features(batches):
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
-    """(host, path, parent, depth, pages, style_importance, text_importance): the merged trees."""
+    """(host, path, parent, depth, inside, pages, style_importance, text_importance): the merged trees."""
     each = pages.filter("host IS NOT NULL").select("host", "html").mapInArrow(
         _features, "host string, path long, parent long, depth int, kind int, feature long, n long"
     )
@@ -232,7 +247,8 @@ def style_trees(pages: DataFrame) -> DataFrame:
     )
     style, words = F.col("kind") == 0, F.col("kind") == 1
     by_path = by_feature.groupBy("host", "path", "parent", "depth").agg(
-        F.max(F.when(F.col("kind") == 2, F.col("pages"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == 2, F.col("pages"))).alias("pages"),
+        (F.max(F.when(F.col("kind") == 2, F.col("feature"))) == 1).alias("inside"),
         F.sum(F.when(style, F.col("c"))).alias("c"),
         F.sum(F.when(style, F.col("c") * F.log("c"))).alias("c_log_c"),
         F.avg(F.when(words, F.log("c") - F.col("c_log_c") / F.col("c"))).alias("spread"),
@@ -243,6 +259,7 @@ def style_trees(pages: DataFrame) -> DataFrame:
         "path",
         "parent",
         "depth",
+        "inside",
         "pages",
         F.when(F.col("pages") > 1, (F.log("c") - F.col("c_log_c") / F.col("c")) / base).otherwise(1.0).alias("style_importance"),
         F.when(F.col("pages") > 1, 1 - F.col("spread") / base)
@@ -277,7 +294,7 @@ def low_branches(trees: DataFrame) -> DataFrame:
         value = F.when(n_parts > 0, (1 - weight) * F.col("style_importance") + weight * mean).otherwise(1.0)
         rated = level.withColumn("value", value).select(
             "host", "path", "parent", "pages", "value",
-            ((F.col("value") < LOW) & (F.col("once") == 0) & F.coalesce("all_low", F.lit(True))).alias("low"),
+            ((F.col("value") < F.when(F.col("inside"), LOW**2).otherwise(LOW)) & (F.col("once") == 0) & F.coalesce("all_low", F.lit(True))).alias("low"),
         )
         levels.append(stage(rated, "style-level"))
         below = levels[-1].groupBy(F.col("host").alias("_host"), F.col("parent").alias("_parent")).agg(

@@ -244,12 +244,28 @@ def test_op7_trees_without_a_group_a_host(spark):
     # (path, parent, depth, pages, style, text): 2 is low with its child, 4 has a branch of one page
     tree = [(0, -1, 0, 9, 0.0, None), (1, 0, 1, 9, 0.0, None), (2, 1, 2, 9, 0.0, 0.1), (3, 2, 3, 9, 0.1, 0.1),
             (4, 1, 2, 9, 0.0, 0.0), (5, 4, 3, 1, 1.0, 1.0), (6, 1, 2, 9, 0.0, 0.0), (7, 1, 2, 5, 0.0, 0.0)]
-    df = spark.createDataFrame([("h", *r) for r in tree], "host string, path long, parent long, depth int, pages long, style_importance double, text_importance double")
+    kind = "host string, path long, parent long, depth int, inside boolean, pages long, style_importance double, text_importance double"
+    df = spark.createDataFrame([("h", *r[:3], False, *r[3:]) for r in tree], kind)
     low = low_branches(df)
     assert {r.host: sorted(r.low) for r in low.collect()} == {"h": [2, 3, 6]}
     assert "FlatMapGroups" not in low._jdf.queryExecution().toString()
 
 
+def test_op7_style_tree_inside_and_outside_the_article(spark):
+    own = [f"own text {i * i} of page {i}, longer than the card beside it" for i in range(20)]
+    # a teaser beside the main text, the same on all pages or not
+    for card in ("same card", "card {0}"):
+        pages = [f"<body><article>{card.format(i)}</article><div class=text><p>{x}</div></body>" for i, x in enumerate(own)]
+        for i, got in enumerate(extracted(spark, pages)):
+            assert got == (own[i] if card == "same card" else f"card {i} {own[i]}")
+    # the title outside of the article, and a site's box inside it
+    page = "<body><h1>title {0}</h1><article><p>{1}</p><div class=box>thanks for reading</div></article><div>more at {0}</div></body>"
+    assert extracted(spark, [page.format(i, x) for i, x in enumerate(own)]) == [f"title {i} {x}" for i, x in enumerate(own)]
+    # near copies keep their article
+    page = "<body><article><h2>title {0}</h2><p>one text that all pages of the host have</p></article></body>"
+    assert extracted(spark, [page.format(i) for i in range(12)]) == [f"title {i} one text that all pages of the host have" for i in range(12)]
+
+
 def test_op8(spark):
     turns = {}
     rows = [*read("conversations", "conv_id, turn, role, text"), (-7, 0, "user", queries.CONTROL_TEXT), (-7, 1, "assistant", queries.CONTROL_TEXT)]
