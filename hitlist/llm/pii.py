@@ -9,6 +9,8 @@ to the entity's type: digits for digits, valid octets, the same count of hex dig
 digit where the number had a right one, a name of the same gender and script. The tables of
 entities and replacements are compared: a replacement that another entity got too, or that
 is an entity itself, is drawn again until none is left, so different entities stay different.
+After ``WIDEN`` draws a replacement grows by a character a draw, and what is left after ``DRAWS``
+is numbered. A run of signs without a letter or digit is no secret.
 The same entity gets the same replacement everywhere, in whatever way it is written (case of
 an address, separators of a number, a person's surname alone).
 
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlist.llm.shared import broadcast_if_small, fresh, stage, text_key
+from hitlist.operators.keys import with_dense_id
 
 # Titles and first names by gender, syllables by script.
 TITLES = {
@@ -55,7 +58,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![{_W}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 HEX = r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])"
 _KEY = r"(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa][Pp][Ii][_\-]?[Kk]ey)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
-ASSIGNED = rf"(?<![A-Za-z]){_KEY}[A-Za-z0-9_/+\-]{{8,128}}+"
+ASSIGNED = rf"(?<![A-Za-z]){_KEY}(?=[_/+\-]*+[A-Za-z0-9])[A-Za-z0-9_/+\-]{{8,128}}+"
 CARD = rf"(?<![{_W}])(?:\d{{13,19}}+|\d{{4}}(?:[ \-]\d{{4}}){{2}}[ \-]\d{{1,7}})(?![{_W}])"
 PHONE = (
     rf"(?<![{_W}+])(?:\+\d{{1,3}}[ .\-]?)?\(\d{{2,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}(?!\d)"
@@ -80,8 +83,8 @@ def has_find(text: Column) -> Column:
     return F.coalesce(hint & text.rlike(PATTERN), F.lit(False))
 
 
-#: Draws of a replacement before a collision counts as an error.
-DRAWS = 64
+#: Draws of a replacement before the rest is numbered; draws after which it grows.
+DRAWS, WIDEN = 64, 16
 
 
 def _script(name: Column) -> Column:
@@ -176,15 +179,19 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
 
         return F.array_join(F.transform(F.split(canon, ""), char), "")
 
+    # own bytes of the draw: the mail domain's label, and what a replacement grows by
+    own = F.sha2(F.concat(seed, F.lit("|own")), 256)
+    grown = F.substring(own, F.lit(9), F.greatest(F.least(F.col("draw") - WIDEN, F.lit(40)), F.lit(0)))
+    grown_digits = F.translate(grown, "abcdef", "012345")
     shape = shaped(False)
     at_sign = F.instr(canon, "@")
-    email = F.concat(F.substring(shape, F.lit(1), at_sign), F.lit("mail"), pick("0123456789", F.lit(0)), F.lit(".example.net"))
+    email = F.concat(F.substring(shape, F.lit(1), at_sign), F.lit("mail"), F.substring(own, 1, 8), grown, F.lit(".example.net"))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: _byte(s, i).cast("string")), ".")
-    body = F.substring(shape, F.lit(1), F.length(canon) - 1)
+    body = F.concat(F.substring(shape, F.lit(1), F.length(canon) - 1), grown_digits)
     check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    card = F.when(_luhn(canon) % 10 == 0, F.concat(body, check)).otherwise(shape)
+    card = F.when(_luhn(canon) % 10 == 0, F.concat(body, check)).otherwise(F.concat(shape, grown_digits))
     country = F.substring(canon, F.lit(1), F.length(canon) - 9)  # what stands before the last nine digits
-    phone = F.concat(country, F.substring(shape, F.length(country) + 1, F.lit(9)))
+    phone = F.concat(country, F.substring(shape, F.length(country) + 1, F.lit(9)), grown_digits)
 
     def name(script: str, gender: str) -> Column:
         count = 3 + F.least(F.col("draw"), F.lit(4))
@@ -198,9 +205,9 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
         .when(kind == "ip", ip)
         .when(kind == "card", card)
         .when(kind == "phone", phone)
-        .when(kind == "ssn", shape)
-        .when((kind == "secret") & canon.rlike("^[A-Fa-f0-9]+$"), shaped(True))
-        .when(kind == "secret", shape)
+        .when(kind == "ssn", F.concat(shape, grown_digits))
+        .when((kind == "secret") & canon.rlike("^[A-Fa-f0-9]+$"), F.concat(shaped(True), grown))
+        .when(kind == "secret", F.concat(shape, grown))
     )
     for script in SYLLABLES:
         for gender, prefix in (("m", "first_m"), ("f", "first_f"), ("", "last_")):
@@ -208,6 +215,22 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     return drawn.withColumn("made", made).drop("_stream")
 
 
+def _numbered(waiting: DataFrame, settled: DataFrame, real: DataFrame, key: str) -> DataFrame:
+    """(type, canon, draw, made) for what no draw has settled: the draw with its rank, in a form
+    that neither draws nor entities have, or longer than all of them."""
+    taken = real.select("_canon").union(settled.select("made"))
+    longest = taken.select(F.max(F.length("_canon"))).first()[0]
+    ranked = with_dense_id(_draw(waiting, key), ["type", "canon"], "number")
+    number, made, kind = F.col("number").cast("string"), F.col("made"), F.col("type")
+    return ranked.select(
+        "type", "canon", "draw",
+        F.when(kind == "email", F.regexp_replace(made, "@.*$", F.concat(F.lit("@mail_"), number, F.lit(".example.net"))))
+        .when(kind == "ip", F.concat(made, F.lit("."), number))
+        .when(kind.rlike("^(first|last)_"), F.concat(made, number))
+        .otherwise(F.concat(made, F.lpad(number, F.greatest(F.lit(longest + 1), F.length(number)), "0"))).alias("made"),
+    )
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(type, canon, made) for a stored table of distinct (type, canon): ``made`` differs
     within a type from every other row's and from every canon."""
@@ -230,7 +253,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         waiting = checked.filter("NOT fine").select("type", "canon", (F.col("draw") + 1).alias("draw"))
         if waiting.isEmpty():
             return settled.select("type", "canon", "made")
-    raise ValueError("replacements still collide; the type's values are used up")
+    rest = stage(_numbered(waiting, settled, real, key), "numbered")
+    return settled.select("type", "canon", "made").unionByName(rest.select("type", "canon", "made"))
 
 
 def _render(surface: Column, kind: Column, made: Column) -> Column:
@@ -247,6 +271,8 @@ def _render(surface: Column, kind: Column, made: Column) -> Column:
         "",
     )
     loud = (F.upper(surface) == surface) & (F.lower(surface) != surface)
+    digits = F.length(F.regexp_replace(surface, r"\D", ""))
+    filled = F.concat(filled, F.substring(made, digits + 1, F.length(made)))  # what it has grown by
     return (
         F.when(kind.isNull(), surface)
         .when(kind.isin("phone", "card", "ssn"), filled)

@@ -127,6 +127,21 @@ def test_op4_collisions_are_drawn_again(spark):
     assert not {(r.type, r.made) for r in rows} & {(r.type, r.canon) for r in rows}
 
 
+def test_op4_used_up_values(spark, monkeypatch):
+    blanks = [(1, "Password: ________ and password=-------- or token=--------------"), (2, "password=-------a password=-------b")]
+    one, two = (r.text for r in pii.replace(spark.createDataFrame(blanks, "doc_id long, text string"), "k").orderBy("doc_id").collect())
+    assert one == blanks[0][1] and two != blanks[1][1]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [("email", f"{a}@host{i}.com") for a in letters for i in range(60)]
+    secrets = [("secret", f"-------{a}") for a in letters] + [("ssn", str(i)) for i in range(10)] + [("ip", "1.2.3.4")]
+    entities = spark.createDataFrame(mails + secrets + [("last_ latin", "smith")], "type string, canon string")
+    for draws, kinds in ((64, entities), (1, entities.filter("type NOT IN ('email')")), (1, entities.filter("canon LIKE '%@host1.com'"))):
+        monkeypatch.setattr(pii, "DRAWS", draws)
+        rows = pii.surrogates(kinds, "k").collect()
+        assert len(rows) == kinds.count() == len({(r.type, r.made) for r in rows})
+        assert not {(r.type, r.made) for r in rows} & {(r.type, r.canon) for r in kinds.collect()}
+
+
 def test_op5_items(spark, docs):
     want = brute.hits(docs, read("benchmark", "item_id, text"))
     for r in run(spark, "op5_benchmark_decontamination").collect():
