@@ -56,9 +56,11 @@ _LOCAL = _W + r"._%+\-"
 EMAIL = rf"(?<![{_LOCAL}])[{_LOCAL}]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{{2,}}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![{_W}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
-HEX = r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])"
+HEX = r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,}+(?![A-Za-z0-9])"
 _KEY = r"(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa][Pp][Ii][_\-]?[Kk]ey)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
-ASSIGNED = rf"(?<![A-Za-z]){_KEY}(?=[_/+\-]*+[A-Za-z0-9])[A-Za-z0-9_/+\-]{{8,128}}+"
+# what is assigned: to the closing quote on its line, else to white space or a quote, less signs at the end
+_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*?[{_W}])[^{q}\r\n]{{8,}}+(?={q})" for q in "\"'")
+ASSIGNED = rf"(?<![A-Za-z]){_KEY}(?:{_QUOTED}|[^\s\p{{Z}}\"']{{7,}}[{_W}])"
 CARD = rf"(?<![{_W}])(?:\d{{13,19}}+|\d{{4}}(?:[ \-]\d{{4}}){{2}}[ \-]\d{{1,7}})(?![{_W}])"
 PHONE = (
     rf"(?<![{_W}+])(?:\+\d{{1,3}}[ .\-]?)?\(\d{{2,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}(?!\d)"
@@ -153,31 +155,35 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     """Adds the replacement of each (type, canon) at its draw number."""
     kind, canon = F.col("type"), F.col("canon")
     seed = F.concat_ws("|", F.lit(key), kind, canon, F.col("draw").cast("string"))
-    stream = F.array_join(
-        F.transform(F.sequence(F.lit(0), F.floor(F.length(canon) / 32).cast("int")), lambda i: F.sha2(F.concat_ws("|", seed, i.cast("string")), 256)),
-        "",
+    # 32 characters at a time with a digest of their own, so a long secret takes linear time
+    pieces = F.transform(
+        F.regexp_extract_all(canon, F.lit("(?s).{1,32}"), F.lit(0)),
+        lambda text, i: F.struct(text.alias("text"), F.sha2(F.concat_ws("|", F.col("_seed"), i.cast("string")), 256).alias("bytes")),
     )
-    drawn = entities.withColumn("_stream", stream)
-    s = F.col("_stream")
+    drawn = entities.withColumn("_seed", seed).withColumn("_pieces", pieces)
+    seed, s = F.col("_seed"), F.get("_pieces", F.lit(0))["bytes"]
 
-    def pick(alphabet: str, i: Column) -> Column:
-        return F.substring(F.lit(alphabet), _byte(s, i) % len(alphabet) + 1, F.lit(1))
+    def pick(alphabet: str, i: Column, stream: Column) -> Column:
+        return F.substring(F.lit(alphabet), _byte(stream, i) % len(alphabet) + 1, F.lit(1))
 
     low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
     def shaped(hexes: bool) -> Column:
-        def char(c: Column, i: Column) -> Column:
+        def char(c: Column, i: Column, b: Column) -> Column:
             if hexes:
-                return F.when(c.rlike("[A-F]"), F.upper(pick("0123456789abcdef", i))).otherwise(pick("0123456789abcdef", i))
+                return F.when(c.rlike("[A-F]"), F.upper(pick("0123456789abcdef", i, b))).otherwise(pick("0123456789abcdef", i, b))
             return (
-                F.when(c.rlike(r"\d"), pick("0123456789", i))
-                .when(c.rlike("[a-z]"), pick(low, i))
-                .when(c.rlike("[A-Z]"), pick(up, i))
-                .when(c.rlike(r"\p{L}"), pick(low, i))
+                F.when(c.rlike(r"\d"), pick("0123456789", i, b))
+                .when(c.rlike("[a-z]"), pick(low, i, b))
+                .when(c.rlike("[A-Z]"), pick(up, i, b))
+                .when(c.rlike(r"\p{L}"), pick(low, i, b))
                 .otherwise(c)
             )
 
-        return F.array_join(F.transform(F.split(canon, ""), char), "")
+        def piece(p: Column) -> Column:
+            return F.array_join(F.transform(F.split(p["text"], ""), lambda c, i: char(c, i, p["bytes"])), "")
+
+        return F.array_join(F.transform("_pieces", piece), "")
 
     # own bytes of the draw: the mail domain's label, and what a replacement grows by
     own = F.sha2(F.concat(seed, F.lit("|own")), 256)
@@ -212,7 +218,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     for script in SYLLABLES:
         for gender, prefix in (("m", "first_m"), ("f", "first_f"), ("", "last_")):
             made = made.when(kind == f"{prefix} {script}", name(script, gender))
-    return drawn.withColumn("made", made).drop("_stream")
+    return drawn.withColumn("made", made).drop("_seed", "_pieces")
 
 
 def _numbered(waiting: DataFrame, settled: DataFrame, real: DataFrame, key: str) -> DataFrame:

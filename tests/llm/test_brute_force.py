@@ -127,6 +127,19 @@ def test_op4_collisions_are_drawn_again(spark):
     assert not {(r.type, r.made) for r in rows} & {(r.type, r.canon) for r in rows}
 
 
+def test_op4_long_secrets(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvIn0.SflKxwRJSMeKKF2QT4-fwpM_eJf36POk6yJV_adQssw5c"
+    secrets = ["aB3" * 43, "aB3x" * 250, "aB3x" * 50_000, jwt, "p4ss.word=ends,here", "0123456789abcdef" * 10, "0123456789abcdef" * 70]
+    texts = [f"say token={x} end" for x in secrets[:5]] + [f"say {x} end" for x in secrets[5:]] + ['say password = "a long, pass=phrase" end']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for old, r in zip([*secrets, "a long, pass=phrase"], pii.replace(docs, "k").orderBy("doc_id").collect()):
+        start, end = texts[r.doc_id].split(old)
+        new = r.text[len(start) : -len(end)]
+        assert (r.text[: len(start)], r.text[-len(end) :]) == (start, end) and len(new) == len(old)
+        same = [a == b for a, b in zip(old, new) if a.isalnum()]
+        assert sum(same) < 0.3 * len(same) and all(a == b for a, b in zip(old, new) if not a.isalnum())
+
+
 def test_op4_used_up_values(spark, monkeypatch):
     blanks = [(1, "Password: ________ and password=-------- or token=--------------"), (2, "password=-------a password=-------b")]
     one, two = (r.text for r in pii.replace(spark.createDataFrame(blanks, "doc_id long, text string"), "k").orderBy("doc_id").collect())
