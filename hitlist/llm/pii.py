@@ -14,7 +14,8 @@ is numbered. A run of signs without a letter or digit is no secret.
 The same entity gets the same replacement everywhere, in whatever way it is written (case of
 an address, separators of a number, a person's surname alone).
 
-``replace`` puts them into the texts. Only texts with a find are shuffled.
+``replace`` puts them into the texts, and those of a text's persons also where the surname or
+first name stands alone in it, as a capitalised whole word (but not ``SENTENCE_WORDS``). Only texts with a find are shuffled.
 
 Null text stays null. Rows that repeat an id are replaced row by row. Empty tables give empty
 results. Other columns are kept by ``replace``.
@@ -39,6 +40,14 @@ FIRST_NAMES = {
     "f": ["Mary", "Patricia", "Jennifer", "Elizabeth", "Barbara", "Susan", "Margaret", "Ursula", "Sabine", "Monika",
           "Helga", "Françoise", "Nathalie", "Sylvie", "Isabel", "Carmen", "Lucía", "Анна", "Мария", "Ольга"],
 }
+# Capitalised words after a first name that begin a sentence rather than name a person.
+SENTENCE_WORDS = {
+    "the", "this", "that", "these", "those", "he", "she", "it", "we", "you", "they", "his", "her", "and", "but", "or", "if", "in", "on",
+    "at", "as", "for", "from", "to", "of", "is", "was", "said", "when", "then", "there", "der", "die", "das", "er", "sie", "es", "wir",
+    "ihr", "und", "aber", "oder", "ein", "eine", "ist", "im", "am", "le", "la", "les", "un", "une", "des", "du", "de", "et", "mais", "ou",
+    "il", "elle", "ils", "elles", "nous", "vous", "el", "los", "las", "una", "y", "pero", "en", "он", "она", "они", "мы", "вы", "это",
+    "и", "но", "а", "в", "на",
+}
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe fo ga go ka ke ko la le lo ma me mo na ne no pa pe po ra re ro sa so ta".split(),
     "cyrillic": "ба бе бо да де до фа фе фо га го ка ке ко ла ле ло ма ме мо на не но па пе по ра ре ро са со та".split(),
@@ -68,9 +77,11 @@ PHONE = (
     rf"|(?<![{_W}.\-])\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}(?![\d\-])"
 )
 SSN = rf"(?<![{_W}\-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d\-])"
-_NAME = r"\p{Lu}\p{Ll}+"
+# with inner capitals, and apostrophes and hyphens before a capital
+_NAME = r"\p{Lu}(?:\p{L}|['’\-](?=\p{Lu}))++"
 _TITLE = "(?:" + "|".join(TITLES["m"] + TITLES["f"]) + r")\.?"
 _FIRST = "(?:" + "|".join(FIRST_NAMES["m"] + FIRST_NAMES["f"]) + ")"
+_FIRST = rf"{_FIRST}(?:-{_FIRST})?"
 _CAPITALS = "[" + "".join(sorted({n[0] for names in (*TITLES.values(), *FIRST_NAMES.values()) for n in names})) + "]"
 # the names' first letters come first, so that most places fail at one character
 PERSON = rf"(?={_CAPITALS})(?<![{_W}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_FIRST} {_NAME})(?!\p{{L}})"
@@ -91,10 +102,14 @@ DRAWS, WIDEN = 64, 16
 
 def _script(name: Column) -> Column:
     return (
-        F.when(name.rlike(r"^\p{IsCyrillic}+$"), "cyrillic").when(name.rlike(r"^\p{IsGreek}+$"), "greek").otherwise("latin")
+        F.when(name.rlike(r"^[\p{IsCyrillic}'’\-]+$"), "cyrillic").when(name.rlike(r"^[\p{IsGreek}'’\-]+$"), "greek").otherwise("latin")
     )
 
 
+def _canon_name(word: Column) -> Column:
+    return F.translate(F.lower(word), "’", "'")
+
+
 def _parts(match: Column) -> Column:
     """The entities of a match as (surface, type, canon); a title has a null type."""
     digits = F.regexp_replace(match, r"\D", "")
@@ -108,11 +123,11 @@ def _parts(match: Column) -> Column:
 
     def person(word: Column, at: Column) -> Column:
         first = F.when(titled, (at == 1) & (F.size(words) == 3)).otherwise(at == 0)
-        gender = F.when(F.when(titled, men).otherwise(word.isin(FIRST_NAMES["m"])), "m").otherwise("f")
+        gender = F.when(F.when(titled, men).otherwise(F.split(word, "-")[0].isin(FIRST_NAMES["m"])), "m").otherwise("f")
         kind = F.when(titled & (at == 0), F.lit(None)).when(first, F.concat(F.lit("first_"), gender)).otherwise(F.lit("last_"))
         # the space between words belongs to the word before it
         surface = F.concat(word, F.when(at < F.size(words) - 1, " ").otherwise(""))
-        return F.struct(surface.alias("surface"), F.concat(kind, F.lit(" "), _script(word)).alias("type"), F.lower(word).alias("canon"))
+        return F.struct(surface.alias("surface"), F.concat(kind, F.lit(" "), _script(word)).alias("type"), _canon_name(word).alias("canon"))
 
     value = F.regexp_replace(match, f"^{_KEY}", "")
     prefix = F.substring(match, F.lit(1), F.length(match) - F.length(value))
@@ -284,10 +299,30 @@ def _render(surface: Column, kind: Column, made: Column) -> Column:
         .when(kind.isin("phone", "card", "ssn"), filled)
         .when(kind == "email", F.when(loud, F.upper(made)).otherwise(made))
         .when(kind.isin("ip", "secret"), made)
-        .otherwise(F.concat(F.initcap(made), F.regexp_extract(surface, " $", 0)))
+        .otherwise(F.concat(_name_like(surface, made), F.regexp_extract(surface, " $", 0)))
     )
 
 
+def _name_like(surface: Column, made: Column) -> Column:
+    return F.when(F.upper(surface) == surface, F.upper(made)).otherwise(F.initcap(made))
+
+
+#: Words that may be a name, and what stands between them; together, the whole of a text.
+_WORDS = rf"(?<![{_W}]){_NAME}|[^\p{{Lu}}]++|\p{{Lu}}"
+
+
+def _alone(gap: Column, persons: Column) -> Column:
+    """The pieces of what stands between finds as (text, hit), with the ``persons`` (type, canon,
+    made) of the document replaced; a word that is surname and first name is the surname."""
+
+    def piece(word: Column) -> Column:
+        known = F.filter(persons, lambda p: p["canon"] == _canon_name(word))
+        named = F.transform(F.array(F.struct(F.get(F.reverse(known), F.lit(0)).alias("p"))), lambda x: x["p"]["made"])[0]
+        return F.struct(F.coalesce(_name_like(word, named), word).alias("text"), named.isNotNull().alias("hit"))
+
+    return F.transform(F.regexp_extract_all(gap, F.lit(_WORDS), F.lit(0)), piece)
+
+
 def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
     """``docs`` with replaced texts; with ``counts`` also n_entities and types (found ones,
     sorted, comma-joined)."""
@@ -298,14 +333,16 @@ def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
     entities = stage(each.filter("type IS NOT NULL").select("type", "canon").distinct(), "pii-entities")
     chosen = surrogates(entities, key)
     parts = each.join(chosen, ["type", "canon"], "left").select(
-        "doc_id", "key", "type", F.struct("i", "j", _render(F.col("surface"), F.col("type"), F.col("made")).alias("s")).alias("p")
+        "doc_id", "key", "type", "canon", "made", F.struct("i", "j", _render(F.col("surface"), F.col("type"), F.col("made")).alias("s")).alias("p")
     )
+    is_person = F.col("type").rlike("^(first|last)_") & ~F.col("canon").isin(*sorted(SENTENCE_WORDS))
     by_doc = parts.groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_list("p")).alias("parts"),
         F.count(F.when(F.col("p.j") == 0, 1)).alias("n"),
+        F.sort_array(F.collect_set(F.when(is_person, F.struct("type", "canon", "made")))).alias("persons"),
         F.array_join(F.array_sort(F.collect_set(F.split("type", "[_ ]")[0])), ",").alias("types"),
     )
-    other, own, key_, new, n, kinds = fresh(docs, "other", "own", "key", "new", "n_entities", "types")
+    other, own, key_, new, who, n, kinds = fresh(docs, "other", "own", "key", "new", "persons", "n_entities", "types")
     by_match = by_doc.select(
         F.col("doc_id").alias(other),
         F.col("key").alias(key_),
@@ -313,25 +350,38 @@ def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
             F.sequence(F.lit(0), F.col("n").cast("int") - 1),
             lambda i: F.array_join(F.transform(F.filter("parts", lambda p: p["i"] == i), lambda p: p["s"]), ""),
         ).alias(new),
+        F.col("persons").alias(who),
         F.col("n").alias(n),
         F.col("types").alias(kinds),
     )
-    long = F.octet_length(F.array_join(new, "")) + 24 * F.size(new) + 150
+    long = F.octet_length(F.array_join(new, "")) + 24 * F.size(new) + 80 * F.size(who) + 150
     by_match = broadcast_if_small(stage(by_match, "pii-replaced"), long)
     has = has_find(F.col("text"))
     dirty = docs.filter(has).withColumn(own, text_key()).join(
         by_match, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key_))
     )
     gaps = F.split("text", PATTERN)
-    text = F.element_at(
+    # the gaps as (text, hits); only documents with persons have their words looked up
+    named = F.transform(
+        F.transform(gaps, lambda g: _alone(g, F.col(who))),
+        lambda ps: F.struct(F.array_join(F.transform(ps, lambda p: p["text"]), "").alias("g"), F.size(F.filter(ps, lambda p: p["hit"])).alias("hits")),
+    )
+    plain = F.transform(gaps, lambda g: F.struct(g.alias("g"), F.lit(0).alias("hits")))
+    made = F.element_at(
         F.transform(
-            F.array(F.struct(gaps.alias("g"), F.col(new).alias("n"))),
-            lambda x: F.array_join(F.zip_with(x["g"], x["n"], lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""),
+            F.array(F.struct(F.when(F.size(who) > 0, named).otherwise(plain).alias("g"), F.col(new).alias("n"))),
+            lambda x: F.struct(
+                F.array_join(F.zip_with(x["g"], x["n"], lambda a, b: F.concat(a["g"], F.coalesce(b, F.lit("")))), "").alias("text"),
+                F.aggregate(x["g"], F.lit(0), lambda total, a: total + a["hits"]).alias("hits"),
+            ),
         ),
         1,
     )
+    (done_,) = fresh(dirty, "done")
+    dirty = dirty.withColumn(done_, made)
+    text, total = F.col(done_)["text"], F.col(n) + F.col(done_)["hits"]
     done = dirty.select(
-        *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns), *([n, kinds] if counts else [])
+        *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns), *([total.alias(n), kinds] if counts else [])
     )
     clean = docs.filter(~has)
     if counts:

@@ -140,6 +140,21 @@ def test_op4_long_secrets(spark):
         assert sum(same) < 0.3 * len(same) and all(a == b for a, b in zip(old, new) if not a.isalnum())
 
 
+def test_op4_persons_by_one_name(spark):
+    rows = [
+        (1, "Mr. John Smith came. Smith said that SMITH's dog, John and Smithson left; the smith stayed."),
+        (2, "Mr. O'Brien, Frau McDonald, Monsieur Jean-Pierre Dupont, Mrs. SMITH. McDonald met O'Brien and Jean-Pierre."),
+        (3, "Smith and John alone."),
+        (4, "So said Peter The. The rest stays."),
+    ]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k", counts=True).collect()}
+    m = re.fullmatch(r"Mr\. (\w+n) (\w+ler) came\. (\w+) said that (\w+)'s dog, (\w+) and Smithson left; the smith stayed\.", got[1].text)
+    assert m[2] == m[3] == m[4].title() and m[4].isupper() and m[1] == m[5] and "Smith " not in got[1].text and got[1].n_entities == 4
+    m = re.fullmatch(r"Mr\. (\w+), Frau (\w+), Monsieur (\w+n) (\w+), Mrs\. (\w+)\. (\w+) met (\w+) and (\w+)\.", got[2].text)
+    assert m[2] == m[6] and m[1] == m[7] and m[3] == m[8] and m[5].isupper() and m[5].title() in got[1].text
+    assert got[3].text == rows[2][1] and got[4].text.endswith(". The rest stays.")
+
+
 def test_op4_used_up_values(spark, monkeypatch):
     blanks = [(1, "Password: ________ and password=-------- or token=--------------"), (2, "password=-------a password=-------b")]
     one, two = (r.text for r in pii.replace(spark.createDataFrame(blanks, "doc_id long, text string"), "k").orderBy("doc_id").collect())
