@@ -111,9 +111,90 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM failed f JOIN verdicts v ON f.host IS NOT DISTINCT FROM v.host
 """
 
+TERM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH found AS (SELECT doc_id, unnest({TERM.format(ASCII_LOWER.format(TEXT))}) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM found GROUP BY 1),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY 1, 2),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY 1),
+items AS (SELECT DISTINCT item_id, unnest({TERM.format(ASCII_LOWER.format(TEXT))}) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (doc_id), totals GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INT) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(octet_length(encode({value})) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(_field, values))})"
+
+
+#: CRC-32 of a text, byte by byte and bit by bit.
+CRC32 = (
+    "xor(list_reduce(list_transform(string_split({}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: "
+    "list_reduce([CAST(i AS BIGINT) FOR i IN range(8)], "
+    "lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END, xor(a, b)), 4294967295), 4294967295)"
+)
+
+OP12 = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf(ASCII_LOWER.format("text"))} ELSE {_leaf("text")} END AS copy
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree FROM rows),
+nodes AS (
+  SELECT tree, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY tree) AS size FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), any_value((size + 7) // 8)
+  FROM nodes WHERE size > 1 GROUP BY tree, level, place // 8),
+high AS (
+  SELECT 0 AS level, tree AS place, node, count(*) OVER () AS size FROM nodes WHERE size = 1
+  UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), any_value((size + 7) // 8)
+  FROM high WHERE size > 1 GROUP BY level, place // 8),
+heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY 1),
+everything AS (
+  SELECT tree, level, place, node FROM nodes WHERE size > 1
+  UNION ALL SELECT t.tree, t.height + h.level, h.place, h.node FROM heights t, high h WHERE h.size > 1),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.place, p.tree, e.level,
+         CASE WHEN e.level < t.height THEN p.place // CAST(8 ** e.level AS BIGINT)
+              ELSE p.tree // CAST(8 ** (e.level - t.height) AS BIGINT) END AS own, e.place AS other, e.node
+  FROM placed p JOIN heights t USING (tree) JOIN everything e USING (tree)),
+beside AS (
+  SELECT tree, place, level, coalesce(string_agg(node, '' ORDER BY other) FILTER (other < own), '') AS l,
+         coalesce(string_agg(node, '' ORDER BY other) FILTER (other > own), '') AS r
+  FROM steps WHERE own // 8 = other // 8 GROUP BY tree, place, level),
+folds AS (
+  SELECT tree, place, 0 AS level, copy AS node FROM placed
+  UNION ALL
+  SELECT f.tree, f.place, f.level + 1, sha256(b.l || f.node || b.r) FROM folds f JOIN beside b
+  ON b.tree = f.tree AND b.place = f.place AND b.level = f.level),
+folded AS (SELECT tree, place, arg_max(node, level) AS node FROM folds GROUP BY 1, 2),
+proven AS (SELECT tree, place, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM beside GROUP BY 1, 2)
+SELECT p.doc_id, p.leaf, s.node AS subroot, h.node AS root, coalesce(proof, sha256('')) AS proof_sha256,
+       f.node AS folded_root, f.node = h.node AS verified
+FROM placed p JOIN nodes s ON s.tree = p.tree AND s.size = 1 JOIN high h ON h.size = 1
+JOIN folded f ON f.tree = p.tree AND f.place = p.place LEFT JOIN proven v ON v.tree = p.tree AND v.place = p.place
+"""
+
 ORACLE = {
     "op1_ngram_jaccard_join": OP1,
     "op3_substring_dedup": OP3,
     "op5_benchmark_decontamination": OP5,
     "op10_quality_rules": OP10,
+    "op11_ranked_search": OP11,
+    "op12_merkle_manifest": OP12,
 }

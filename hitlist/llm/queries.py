@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitlist.llm import chat, decontaminate, html, licenses, neardup, packing, pii, quality, substrings, token_counts
+from hitlist.llm import (
+    chat,
+    decontaminate,
+    html,
+    licenses,
+    manifest,
+    neardup,
+    packing,
+    pii,
+    quality,
+    search,
+    simhash,
+    substrings,
+    token_counts,
+)
 from hitlist.llm.oracle import ORACLE
 from hitlist.llm.shared import public_tokenizer, table
 
@@ -66,6 +80,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), host="source")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -77,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_license_scans": op9_license_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
