@@ -17,9 +17,20 @@ def month_name(d: Column) -> Column:
     return F.rpad(F.date_format(d, "MMMM"), 9, " ")
 
 
+def month_rows(df: DataFrame, date_col: str, label: str) -> DataFrame:
+    """Peak and longevity with the month of a date."""
+    return df.select(
+        F.month(date_col).cast("int").alias("month_number"),
+        month_name(F.col(date_col)).alias(label),
+        "PeakPosition",
+        "WeeksInCharts",
+    )
+
+
 def _by_month(df: DataFrame, date_col: str, label: str) -> DataFrame:
     return (
-        df.groupBy(F.month(date_col).cast("int").alias("month_number"), month_name(F.col(date_col)).alias(label))
+        month_rows(df, date_col, label)
+        .groupBy("month_number", label)
         .agg(avg2("PeakPosition").alias("average_peak_position"), avg2("WeeksInCharts").alias("average_longevity"))
         .orderBy(F.col("month_number").asc_nulls_last())
     )
@@ -30,19 +41,23 @@ def debut_month(songs: DataFrame) -> DataFrame:
     return _by_month(songs, "DebutDate", "debut_month")
 
 
-def peak_month(songs: DataFrame, entries: DataFrame) -> DataFrame:
-    """A2: songs joined to every week they sat at their PeakPosition, by entry month.
+def at_peak(songs: DataFrame, entries: DataFrame) -> DataFrame:
+    """Songs with every week they sat at their PeakPosition.
 
     A left join with ``EntryDate IS NOT NULL`` on the right is an inner join.
     """
     s = songs.select("SongID", "PeakPosition", "WeeksInCharts")
     e = entries.select(F.col("SongID").alias("e_song"), "SongRank", "EntryDate")
-    j = s.join(e, (s.SongID == e.e_song) & (s.PeakPosition == e.SongRank)).filter(F.col("EntryDate").isNotNull())
-    return _by_month(j, "EntryDate", "peak_month")
+    return s.join(e, (s.SongID == e.e_song) & (s.PeakPosition == e.SongRank)).filter(F.col("EntryDate").isNotNull())
 
 
-def artist_longevity(songs: DataFrame, features: DataFrame, artists: DataFrame) -> DataFrame:
-    """A3: primary acts of top-5 songs: number of such songs and their mean weeks.
+def peak_month(songs: DataFrame, entries: DataFrame) -> DataFrame:
+    """A2: songs joined to every week they sat at their PeakPosition, by entry month."""
+    return _by_month(at_peak(songs, entries), "EntryDate", "peak_month")
+
+
+def hit_rows(songs: DataFrame, features: DataFrame, artists: DataFrame) -> DataFrame:
+    """(artistname, WeeksInCharts) of the primary acts of top-5 songs.
 
     (SongID, ArtistID) is the key of features, SongID of songs and ArtistID/ArtistName
     of artists (Q1/Q2), so the joined rows are already distinct per (artist, song):
@@ -51,9 +66,14 @@ def artist_longevity(songs: DataFrame, features: DataFrame, artists: DataFrame)
     s = songs.filter(F.col("PeakPosition") <= 5).select("SongID", "WeeksInCharts")
     f = features.filter(F.col("Contribution") == "Primary").select(F.col("SongID").alias("f_song"), "ArtistID")
     a = artists.select(F.col("ArtistID").alias("a_id"), F.col("ArtistName").alias("artistname"))
-    j = s.join(f, s.SongID == f.f_song).join(a, F.col("ArtistID") == a.a_id)
+    return s.join(f, s.SongID == f.f_song).join(a, F.col("ArtistID") == a.a_id).select("artistname", "WeeksInCharts")
+
+
+def artist_longevity(songs: DataFrame, features: DataFrame, artists: DataFrame) -> DataFrame:
+    """A3: primary acts of top-5 songs: number of such songs and their mean weeks."""
     return (
-        j.groupBy("artistname")
+        hit_rows(songs, features, artists)
+        .groupBy("artistname")
         .agg(F.count(F.lit(1)).alias("hit_songs"), avg2("WeeksInCharts").alias("avg_weeks_in_chart"))
         .orderBy(F.col("hit_songs").desc(), F.col("artistname").asc_nulls_last())
     )

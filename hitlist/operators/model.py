@@ -102,18 +102,13 @@ def entries(chart: DataFrame, songs_df: DataFrame) -> DataFrame:
 
 
 def _credits(chart: DataFrame, primary: bool = True, featured: bool = True) -> DataFrame:
-    """(Song, credit, Contribution) rows with usable credit lists (not de-duplicated)."""
-    parts = []
-    if primary:
-        parts.append(chart.select("Song", A.names_without_comma_act(F.col("Artist")).alias("credit"), F.lit("Primary").alias("Contribution")))
-    if featured:
-        parts.append(
-            chart.select("Song", A.names_without_comma_act(F.col("Featured_Artist")).alias("credit"), F.lit("Feature").alias("Contribution"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.filter(F.col("credit").isNotNull())
+    """(Song, credit, Contribution) rows with usable credit lists (not de-duplicated); one scan
+    gives both kinds."""
+    kinds = [("Artist", "Primary")] * primary + [("Featured_Artist", "Feature")] * featured
+    cells = [
+        F.struct(A.names_without_comma_act(F.col(c)).alias("credit"), F.lit(kind).alias("Contribution")) for c, kind in kinds
+    ]
+    return chart.select("Song", F.inline(F.array(*cells))).filter(F.col("credit").isNotNull())
 
 
 def credited(chart: DataFrame) -> DataFrame:

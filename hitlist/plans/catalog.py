@@ -18,10 +18,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlist.operators import analyses, cleaning, employee, model, quality, upsert
-from hitlist.schemas import LENGTH_LIMITS
+from hitlist.operators import analyses, cleaning, employee, model, quality, summaries, upsert
+from hitlist.schemas import CHART_TYPED, LENGTH_LIMITS
 from hitlist.session import store
-from hitlist.sources import bootstrap_flagged, chart_rows, employee_rows
+from hitlist.sources import bootstrap_flagged, chart_rows, employee_rows, inferred
+from hitlist.sources.bucketed import store_bucketed
 from hitlist.streaming import refresh
 
 
@@ -58,6 +59,21 @@ class Frames:
     def clean(self) -> DataFrame:
         return store(self.clean_once, "chart-clean")
 
+    @cached_property
+    def as_text(self) -> DataFrame:
+        """The chart as its file has it, all text, with bad cells put in by rule: ranks of every
+        seventh week count in letters, every eleventh date as day and month, empty weeks."""
+        weeks, rank = F.col("Weeks in Charts"), F.col("Rank")
+        faults = {
+            "Date": F.when(rank % 11 == 0, F.concat(F.substring("Date", 9, 2), F.lit("."), F.substring("Date", 6, 2), F.lit("."))),
+            "Rank": F.when(weeks % 7 == 0, F.concat(F.lit("no. "), rank.cast("string"))),
+            "Weeks in Charts": F.when(rank % 13 == 0, F.lit("")),
+        }
+        columns = (
+            F.coalesce(faults.get(c, F.lit(None)), F.col(f"`{c}`").cast("string")).alias(c) for c in self.raw.columns
+        )
+        return store(self.raw.select(*columns), "chart-text")
+
     # ---- star model (bootstrap over the whole chart)
     def songs(self, peak: str = "debut") -> DataFrame:
         if peak not in self._songs:
@@ -133,6 +149,47 @@ class Frames:
         artists = store(self.artists_now, "artists-now")
         return old.unionByName(upsert.new_features(old, self.new_clean, self.songs_refreshed, artists))
 
+    # ---- conflicts: stored tables bucketed by their key
+    @cached_property
+    def stored_entries(self) -> DataFrame:
+        return store_bucketed(model.entries(self.stored, self.stored_songs), "entries", upsert.ENTRY_KEY)
+
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        features = model.features(self.stored, self.stored_songs, self.stored_artists)
+        return store_bucketed(features, "features", upsert.FEATURE_KEY)
+
+    @cached_property
+    def redelivered(self) -> DataFrame:
+        """A drop that brings every stored week again, one place lower and with the credits the
+        other way round, besides the new weeks."""
+        swapped = F.col("Featured_Artist").isNotNull()
+        changed = {c: (F.col(f"`{c}`") + 1).alias(c) for c in ["Rank", "Last Week", "Peak Position", "Weeks in Charts"]}
+        changed["Artist"] = F.coalesce("Featured_Artist", "Artist").alias("Artist")
+        changed["Featured_Artist"] = F.when(swapped, F.col("Artist")).alias("Featured_Artist")
+        again = self.stored.select(*(changed.get(c, F.col(f"`{c}`")) for c in self.stored.columns))
+        return store(again.unionByName(self.new_clean), "chart-again")
+
+    @cached_property
+    def songs_written(self) -> DataFrame:
+        return store(upsert.songs_append_as_written(self.stored_songs, self.refreshed), "songs-written")
+
+    # ---- summaries kept up through a refresh
+    def summary_kept_up(self, name: str) -> DataFrame:
+        before = {"songs": self.stored_songs, "entries": self.stored_entries}
+        after = {"songs": self.songs_refreshed}
+        if name == "popular_song_longevity_by_artist":
+            artists = store(self.artists_now, "artists-now")
+            old = self.stored_features
+            new = upsert.new_features(old, self.new_clean, self.songs_refreshed, artists)
+            before = {"songs": self.stored_songs, "features": old, "artists": artists}
+            after |= {"features": old.unionByName(new), "artists": artists}
+        else:
+            after["entries"] = self.stored_entries.unionByName(upsert.new_entries(self.new_clean, self.songs_refreshed))
+        state = store(summaries.state(name, before), "summary-state")
+        ids = store(summaries.touched(self.songs_refreshed, self.new_clean), "touched-songs")
+        return summaries.finished(name, summaries.refreshed(name, state, before, after, ids))
+
     # ---- employees
     @cached_property
     def emp_data(self) -> DataFrame:
@@ -183,7 +240,7 @@ def _pk(f: Frames) -> DataFrame:
             quality.pk_violations(cleaning.typed(f.raw_stored), "chart", ["Date", "Song"]),
             quality.pk_violations(_loaded_twice(f.songs(), "SongID"), "songs", ["SongID"]),
             quality.pk_violations(f.artists, "artists", ["ArtistID"]),
-            quality.pk_violations(_loaded_twice(f.features(), "SongID"), "features", ["SongID", "ArtistID"]),
+            quality.pk_violations(_loaded_twice(store(f.features(), "features"), "SongID"), "features", ["SongID", "ArtistID"]),
             quality.pk_violations(f.entries(), "entries", ["EntryDate", "SongID"]),
             quality.pk_violations(employee.departments(emp), "department", ["DepartmentID"]),
             quality.pk_violations(employee.employees(emp), "employee", ["EmployeeID"]),
@@ -251,6 +308,9 @@ REGISTRY: dict[str, Q] = {
     "chart_typed": lambda f: cleaning.typed(f.raw),
     "sentinel_any_column": lambda f: cleaning.sentinel_any_column(f.raw),
     "bootstrap_flagged": lambda f: f.flagged,
+    "chart_inferred_types": lambda f: inferred.inferred_types(f.as_text),
+    "chart_accepted": lambda f: inferred.accepted(f.as_text, CHART_TYPED),
+    "chart_rejected": lambda f: inferred.rejected(f.as_text, CHART_TYPED),
     # cleaning
     **{name: _step(name) for name in cleaning.STEP_NAMES},
     "clean_full": lambda f: f.clean_once,
@@ -274,6 +334,26 @@ REGISTRY: dict[str, Q] = {
     "features_insert_if_absent": lambda f: f.features_now,
     "songs_append_as_written": lambda f: upsert.songs_append_as_written(f.stored_songs, f.refreshed),
     "weekly_upsert": lambda f: f.songs_now,
+    "songs_merge_on_read": lambda f: upsert.newest(
+        [f.stored_songs, store(upsert.songs_changed(f.stored_songs, f.new_clean), "songs-changed")], "SongID"
+    ),
+    # a stored key wins over a drop that brings it again
+    "entries_redelivered": lambda f: upsert.insert_if_absent(
+        f.stored_entries, model.entries(f.redelivered, f.songs_refreshed), upsert.ENTRY_KEY, unique_candidates=True
+    ),
+    "artists_redelivered": lambda f: upsert.artists_insert(
+        store_bucketed(f.stored_artists, "artists", upsert.ARTIST_KEY), model.artist_names(f.redelivered)
+    ),
+    "features_redelivered": lambda f: upsert.insert_if_absent(
+        f.stored_features,
+        model.features(f.redelivered, f.songs_refreshed, store(f.artists_now, "artists-now")),
+        upsert.FEATURE_KEY,
+        unique_candidates=True,
+    ),
+    "entries_append_as_written": lambda f: upsert.entries_append_as_written(f.stored_entries, f.refreshed, f.songs_written),
+    "features_append_as_written": lambda f: upsert.features_append_as_written(
+        f.stored_features, f.refreshed, f.songs_written, store(f.artists_now, "artists-now")
+    ),
     # chart analyses
     "debut_month": lambda f: analyses.debut_month(f.songs("debut")),
     "debut_month_best": lambda f: analyses.debut_month(f.songs("best")),
@@ -281,6 +361,10 @@ REGISTRY: dict[str, Q] = {
     "peak_month_best": lambda f: analyses.peak_month(f.songs("best"), f.entries("best")),
     "artist_longevity": lambda f: analyses.artist_longevity(f.songs("debut"), f.features("debut"), f.artists),
     "artist_longevity_best": lambda f: analyses.artist_longevity(f.songs("best"), f.features("best"), f.artists),
+    # the same, kept up by what a drop touches
+    "debut_month_kept_up": lambda f: f.summary_kept_up("positions_and_longevity_by_debut_month"),
+    "peak_month_kept_up": lambda f: f.summary_kept_up("positions_and_longevity_by_peak_month"),
+    "artist_longevity_kept_up": lambda f: f.summary_kept_up("popular_song_longevity_by_artist"),
     # employee
     "departments": lambda f: f.department,
     "employees": lambda f: f.employee,

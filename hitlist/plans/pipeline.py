@@ -3,9 +3,11 @@
 Every stage is written as a Parquet table under ``{root}/{version}/{stage}/{table}``
 and read back for the next stage: the written table cuts lineage (a lost executor
 recomputes from it, not from the scans). A refresh writes a *new* version folder with
-what is new (S7); a marker written last lists the versions a version consists of, so a
-refresh that stops midway is never read. Summaries are full-replace tables (S8); their row
-order is applied on read (S13).
+what is new (S7), of songs those that changed (merged on read); a marker written last lists
+the versions a version consists of, so a refresh that stops midway is never read. ``compact``
+packs small batches into one, and ``expire`` deletes folders that no kept version consists of.
+Summaries are full-replace tables (S8), finished from mergeable sums that a refresh
+changes by what its drop touched; their row order is applied on read (S13).
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlist import schemas
-from hitlist.operators import analyses, cleaning, employee, model, quality, upsert
+from hitlist.operators import analyses, cleaning, employee, model, quality, summaries, upsert
+from hitlist.session import store
 from hitlist.sources import bootstrap_flagged
 from hitlist.streaming import refresh
 
@@ -90,14 +93,22 @@ def read_summary(spark: SparkSession, root: str, version: str, name: str) -> Dat
     return df.orderBy(*cols) if cols else df
 
 
-def _chart_summaries(spark, root, version, m: dict[str, DataFrame]) -> None:
-    out = {
-        "positions_and_longevity_by_debut_month": analyses.debut_month(m["songs"]),
-        "positions_and_longevity_by_peak_month": analyses.peak_month(m["songs"], m["entries"]),
-        "popular_song_longevity_by_artist": analyses.artist_longevity(m["songs"], m["features"], m["artists"]),
-    }
-    for name, df in out.items():
-        df.write.mode("overwrite").parquet(path(root, version, "gold", name))
+def _chart_summaries(spark: SparkSession, root: str, version: str, states: dict[str, DataFrame]) -> None:
+    """The sums behind A1-A3, and A1-A3."""
+    for name, df in states.items():
+        stored = _store(spark, df, path(root, version, "state", name))
+        summaries.finished(name, stored).write.mode("overwrite").parquet(path(root, version, "gold", name))
+
+
+def _states(spark: SparkSession, root: str, version: str, m: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The stored sums of a version; worked out from its model where it has none."""
+    out = {}
+    for name in CHART_SUMMARIES:
+        try:
+            out[name] = spark.read.parquet(path(root, version, "state", name))
+        except AnalysisException:
+            out[name] = summaries.state(name, m)
+    return out
 
 
 def bootstrap(spark: SparkSession, raw: DataFrame, root: str, version: str = "v1", peak: str = "debut") -> dict[str, DataFrame]:
@@ -114,7 +125,7 @@ def bootstrap(spark: SparkSession, raw: DataFrame, root: str, version: str = "v1
     put("artists", model.artists(clean))
     put("entries", model.entries(clean, m["songs"]))
     put("features", model.features(clean, m["songs"], m["artists"]))
-    _chart_summaries(spark, root, version, m)
+    _chart_summaries(spark, root, version, {name: summaries.state(name, m) for name in CHART_SUMMARIES})
     _complete(spark, root, version, [version])
     return {"clean": clean, **m}
 
@@ -124,10 +135,15 @@ def read_chart(spark: SparkSession, root: str, version: str) -> dict[str, DataFr
     batches = batches_of(spark, root, version)
     if batches is None:
         raise FileNotFoundError(f"{root}/{version} is not a complete version")
+    return _read_batches(spark, root, batches)
+
+
+def _read_batches(spark: SparkSession, root: str, batches: list[str]) -> dict[str, DataFrame]:
     out = {"clean": _read(spark, root, batches, "source", "clean")}
     for name in ["artists", "entries", "features"]:
         out[name] = _read(spark, root, batches, "model", name)
-    return out | {"songs": spark.read.parquet(path(root, version, "model", "songs"))}
+    songs = [spark.read.parquet(path(root, b, "model", "songs")) for b in batches]
+    return out | {"songs": upsert.newest(songs, "SongID")}
 
 
 def weekly(
@@ -142,9 +158,9 @@ def weekly(
     """One weekly drop against the stored version ``from_version``.
 
     S4-S7 + U12 + U13 on the new rows alone. Chart, artists, entries and features are
-    appended: ``to_version`` holds what is new of them, and its marker lists the versions
-    they consist of, whose files are not touched. Songs change in place (longest run, best
-    peak), so that table is written whole, and the summaries are recomputed.
+    appended: ``to_version`` holds what is new of them, and of songs those that are new or
+    changed (longest run, best peak). Its marker lists the versions it consists of, whose
+    files are not touched. The summaries change by what the touched songs contribute.
     """
     batches = batches_of(spark, root, from_version)
     if batches is None:
@@ -160,18 +176,92 @@ def weekly(
     fresh = refresh.new_rows(cleaning.typed_weekly(incoming_raw), old["clean"])
     cleaned = cleaning.flags_reset(cleaning.clean_new_rows(fresh, standardize_featured))
     new = put("source", "clean", cleaned, schemas.CHART_CLEAN)
-    songs = put("model", "songs", upsert.songs_upsert(old["songs"], new, peak), schemas.SONGS)
+    put("model", "songs", upsert.songs_changed(old["songs"], new, peak), schemas.SONGS)
+    now = [*batches, to_version]
+    songs = upsert.newest([spark.read.parquet(path(root, b, "model", "songs")) for b in now], "SongID")
     added = put("model", "artists", upsert.new_artists(old["artists"], new), schemas.ARTISTS)
     artists = old["artists"].unionByName(added)
     put("model", "entries", upsert.new_entries(new, songs), schemas.ENTRIES)
     put("model", "features", upsert.new_features(old["features"], new, songs, artists), schemas.FEATURES)
-    now = [*batches, to_version]
-    m = {n: _read(spark, root, now, "model", n) for n in ["artists", "entries", "features"]} | {"songs": songs}
-    _chart_summaries(spark, root, to_version, m)
+    m = _read_batches(spark, root, now)
+    ids = store(summaries.touched(m["songs"], new), "touched-songs")
+    states = {n: summaries.refreshed(n, s, old, m, ids) for n, s in _states(spark, root, from_version, old).items()}
+    _chart_summaries(spark, root, to_version, states)
     _complete(spark, root, to_version, now)
     return read_chart(spark, root, to_version)
 
 
+def _files(spark: SparkSession, p: str):
+    """Spark's handle of a path and its file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(p)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def batch_bytes(spark: SparkSession, root: str, batch: str) -> int:
+    """Bytes of a batch's chart tables, from the file system's metadata."""
+    total = 0
+    for stage, name in [("source", "clean"), *(("model", n) for n in CHART_MODEL)]:
+        where, fs = _files(spark, path(root, batch, stage, name))
+        total += fs.getContentSummary(where).getLength()
+    return total
+
+
+def packed_runs(sizes: list[int], target: int) -> list[list[int]]:
+    """Places of batches in runs of neighbours of at most ``target`` bytes together; a larger
+    batch is a run of its own. Their order stays, as a later batch of songs wins."""
+    runs, size = [], 0
+    for n, bytes_ in enumerate(sizes):
+        if runs and size + bytes_ <= target:
+            runs[-1].append(n)
+            size += bytes_
+        else:
+            runs.append([n])
+            size = bytes_
+    return runs
+
+
+def compact(spark: SparkSession, root: str, from_version: str, to_version: str, target: int = 128 << 20) -> list[str]:
+    """``to_version`` is ``from_version`` in fewer batches, which are returned. Runs of small
+    neighbouring batches are written as one file a table; large ones stay where they are. Nothing
+    of ``from_version`` changes, and ``to_version`` can be read once its marker is there."""
+    batches = batches_of(spark, root, from_version)
+    if batches is None:
+        raise FileNotFoundError(f"{root}/{from_version} is not a complete version")
+    if batches_of(spark, root, to_version) is not None:
+        raise ValueError("compaction writes a new version; to_version is a complete one already")
+    now = []
+    for run in packed_runs([batch_bytes(spark, root, b) for b in batches], target):
+        if len(run) == 1:
+            now.append(batches[run[0]])
+            continue
+        own, merged = [batches[n] for n in run], f"{to_version}-{len(now)}"
+        for name, df in _read_batches(spark, root, own).items():
+            stage, schema = ("source", schemas.CHART_CLEAN) if name == "clean" else ("model", CHART_MODEL[name])
+            _store(spark, df.coalesce(1), path(root, merged, stage, name), schema)
+        _complete(spark, root, merged, [*now, merged])
+        now.append(merged)
+    old = _states(spark, root, from_version, _read_batches(spark, root, batches))
+    _chart_summaries(spark, root, to_version, old)
+    _complete(spark, root, to_version, now)
+    return now
+
+
+def expire(spark: SparkSession, root: str, keep: list[str]) -> list[str]:
+    """Delete the version folders that none of ``keep`` consists of; their names. Folders without a
+    marker go too, so no refresh may be running."""
+    needed = set(keep)
+    for version in keep:
+        batches = batches_of(spark, root, version)
+        if batches is None:
+            raise FileNotFoundError(f"{root}/{version} is not a complete version")
+        needed |= set(batches)
+    where, fs = _files(spark, root)
+    gone = [s.getPath() for s in fs.listStatus(where) if s.isDirectory() and s.getPath().getName() not in needed]
+    for p in gone:
+        fs.delete(p, True)
+    return sorted(p.getName() for p in gone)
+
+
 def employees(spark: SparkSession, data: DataFrame, root: str, version: str = "v1") -> dict[str, DataFrame]:
     """Employee model (M7-M10, written in FK order) and summaries A4-A9."""
     tables = employee.build(data)

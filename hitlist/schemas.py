@@ -17,6 +17,9 @@ CHART_RAW = T.StructType(
     ]
 )
 
+#: What the cells of a chart file must be; "Last Week" has a sentinel and stays text.
+CHART_TYPED = T.StructType([T.StructField(f.name, T.DateType() if f.name == "Date" else f.dataType) for f in CHART_RAW.fields])
+
 CHART_CLEAN = T.StructType(
     [
         T.StructField("Date", T.DateType()),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,3 +62,18 @@ def store(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def expire_stages(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete stage tables of finished jobs: folders below the shared one, not written to for so
+    many hours, that ``store`` named. How many went."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = time.time() * 1000 - older_than_hours * 3_600_000
+    gone = 0
+    for status in fs.listStatus(where) if fs.exists(where) else []:
+        named = re.search(r"[-_][0-9a-f]{32}$", status.getPath().getName())
+        if status.isDirectory() and named and status.getModificationTime() < before:
+            fs.delete(status.getPath(), True)
+            gone += 1
+    return gone

@@ -95,7 +95,8 @@ def weekly_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
         # decimal(28,2) sum buffer would run every update through BigDecimal)
         .agg(F.sum((F.col("l_quantity").cast("decimal(18,2)") * 100).cast("long")).alias("units"))
     )
-    numbered = store(with_dense_id(weekly, ["wk", F.col("units").desc_nulls_last(), "pk"], "number").drop("units"), "weekly-chart")
+    # the numbering has stored its rows already
+    numbered = with_dense_id(weekly, ["wk", F.col("units").desc_nulls_last(), "pk"], "number").drop("units")
     first = store(numbered.groupBy(F.col("wk").alias("first_wk")).agg(F.min("number").alias("first")), "first-numbers")
     return numbered.join(first, F.col("wk").eqNullSafe(F.col("first_wk"))).select(
         "wk", "pk", (F.col("number") - F.col("first") + 1).cast("int").alias("rnk")
