@@ -3,20 +3,21 @@
 1. Documents with the same set of shingles form a class; its smallest id stands for it.
 2. Every representative gets a label of ``DEPTH`` MinHash values (a byte each) in each of
    ``TREES`` trees. The labels of a tree, sorted, are the leaves of its prefix trie: labels
-   with a common prefix are neighbours. The prefix to match starts at the full depth and is
-   shortened until the expected share of pairs at the threshold that match in some tree
-   reaches ``RECALL``.
-3. Matches join representatives into groups (connected components). Within a group all pairs
-   are compared on their whole shingle sets, block against block of at most ``BLOCK``
-   members, and leave counts of links and a spanning forest, never the pairs. A group of more
-   than ``GROUP`` members may be a long chain of loosely similar texts; of such, only pairs with
-   a common prefix are compared, prefix by prefix, each in the first tree they share one.
-4. The forests' components are the groups of near duplicates.
+   with a common prefix are neighbours, which join into groups (connected components).
+3. Within a group all pairs are compared on their whole shingle sets, block against block,
+   whatever the size of the group; they leave counts of links, a spanning forest and how many
+   links there are of each similarity, never the pairs.
+4. The prefix to match is at first the whole label. From the links' similarities follows how
+   many a prefix of a given length finds: while the share found is expected to be below
+   ``RECALL``, the prefix is shortened to the longest one that reaches it, and groups that
+   grow by this are compared anew. It never gets shorter than what pairs right at the
+   threshold need for that recall.
+5. The forests' components are the groups of near duplicates.
 
 The labels are dealt by range of (tree, label, id), so a prefix that a third of all documents
 share is still split over many tasks; the ends of the ranges are matched in a second step.
 
-Words are runs of characters other than ASCII white space, lower-cased in A-Z. A text of one
+Ids are integers, or texts of such. Words are runs of characters other than ASCII white space, lower-cased in A-Z. A text of one
 to four words is one shingle. Null and empty texts link to nothing, and rows without an id
 neither; they are their own class. Rows that repeat an id are one document. Empty tables
 give empty results. Other columns are ignored by ``links`` and kept by ``keep_one``.
@@ -33,16 +34,34 @@ from hitlist.llm.shared import bound_batches, broadcast_if_small, fresh, stage
 
 SHINGLE, PERCENT = 5, 80
 TREES, DEPTH, RECALL = 24, 8, 0.9998
-#: Members of a group that are compared at a time with as many others.
-BLOCK = 256
-#: Members up to which a whole group is compared.
-GROUP = 4096
+#: Members of a group, and shingles of them, that are compared at a time with as many others.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Owners of a shingle up to which its pairs are counted one by one.
+FEW = 16
+
+
+def matched(percent: float, depth: int, trees: int = TREES) -> float:
+    """The share of pairs of a similarity with a common prefix of ``depth`` values in some tree."""
+    return 1 - (1 - (percent / 100) ** depth) ** trees
 
 
 def depth_for(recall: float = RECALL, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH) -> int:
     """The longest prefix at which pairs of the threshold's similarity match in some tree with
     at least this probability."""
-    while depth > 1 and 1 - (1 - (percent / 100) ** depth) ** trees < recall:
+    while depth > 1 and matched(percent, depth, trees) < recall:
+        depth -= 1
+    return depth
+
+
+def next_depth(links_at: dict[int, int], depth: int, recall: float, percent: int, trees: int) -> int:
+    """The longest prefix, ``depth`` at most, whose expected recall reaches the target, by the links
+    found at ``depth`` (similarity in whole percent: number). Those not found are estimated
+    from those found; a pair right at the threshold is taken for granted."""
+    found = dict(links_at)
+    found[percent] = found.get(percent, 0) + 1
+    every = {s: n / matched(s, depth, trees) for s, n in found.items()}
+    shortest = depth_for(recall, percent, trees, depth)
+    while depth > shortest and sum(n * matched(s, depth, trees) for s, n in every.items()) < recall * sum(every.values()):
         depth -= 1
     return depth
 
@@ -173,55 +192,79 @@ def candidate_edges(leaves: DataFrame, match: int, depth: int = DEPTH) -> DataFr
     ).filter("a != b").distinct()
 
 
-def _linked(sets: list, percent: int):
-    """For all pairs of the sets: whether their similarity is at least percent / 100."""
+def _common(sets: list):
+    """How many values each two of the sets have in common."""
     import numpy as np
 
-    sizes = np.array([len(s) for s in sets])
-    common = np.zeros((len(sets), len(sets)), np.int64)
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    n = len(sets)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
     new = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.empty(0, bool)
     number = np.cumsum(new) - 1
-    often = np.bincount(number, minlength=1) > 1  # others add nothing to a pair
-    keep = often[number] if len(number) else np.empty(0, bool)
+    owners = np.bincount(number, minlength=1)  # of each value
+    common = np.zeros(n * n, np.int64)
+    few = owners[number] <= FEW if len(number) else np.empty(0, bool)
+    for step in range(1, FEW):  # values of few owners: pairs of places, step by step
+        at = np.flatnonzero((number[step:] == number[:-step]) & few[step:])
+        if not len(at):
+            break
+        common += np.bincount(owner[at] * n + owner[at + step], minlength=n * n)
+    common = common.reshape(n, n)
+    common = common + common.T
+    often = owners > FEW  # the others by products of matrices
+    keep = ~few
     column, owner = (np.cumsum(often) - 1)[number[keep]], owner[keep]
-    width = 4096
+    width = 2048
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [at, at + width])
-        member = np.zeros((len(sets), width), np.float32)
+        member = np.zeros((n, width), np.float32)
         member[owner[lo:hi], column[lo:hi] - at] = 1
         common += (member @ member.T).astype(np.int64)
+    return common
+
+
+def _linked(sets: list, percent: int):
+    """(linked, similarity): for all pairs of the sets, whether their similarity is at least
+    percent / 100, and it in whole percent."""
+    import numpy as np
+
+    sizes = np.array([len(s) for s in sets])
+    common = _common(sets)
     union = sizes[:, None] + sizes[None, :] - common
-    return (100 * common >= percent * union) & (common > 0)
+    return (100 * common >= percent * union) & (common > 0), 100 * common // np.maximum(union, 1)
+
+
+def _sets(batches):
+    """The members' texts as their sorted shingles."""
+    import pyarrow as pa
+
+    for batch in batches:
+        made = pa.array([shingles(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())
+        kept = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), made], names=[*kept, "grams"])
 
 
-def _verify(percent: int, drop: int):
-    """Streams through members sorted by (tree, unit, i, j); per block pair: links of each
-    member and the edges of a spanning forest. A unit is a group (tree -1) or the labels of a
-    tree with a common prefix; ``drop`` bits of a label are not in it."""
+def _verify(percent: int):
+    """Streams through members sorted by (unit, i, j); per block pair: links of each member, with
+    the nearest member of a spanning forest, and, without a node, how many links (texts) there
+    are of a similarity (near)."""
 
     def block(members):
         import numpy as np
 
-        own, other, tree = members["i"], members["j"], members["tree"][0]
+        own, other = members["i"], members["j"]
         seen = {}
         for at, node in enumerate(members["node"]):
-            seen.setdefault((node, members["text"][at]), at)
+            seen.setdefault((node, members["grams"][at]), at)
         at = list(seen.values())
         nodes = np.array([members["node"][k] for k in at])
         weight = np.array([members["size"][k] for k in at])
         side = np.array([members["block"][k] for k in at])
-        linked = _linked([shingles(members["text"][k]) for k in at], percent)
+        linked, similarity = _linked([np.frombuffer(members["grams"][k], np.uint64) for k in at], percent)
         linked &= nodes[:, None] != nodes[None, :]
         if own[0] != other[0]:  # pairs within a block are another pair's task
             linked &= side[:, None] != side[None, :]
-        if tree > 0:  # pairs with a common prefix in an earlier tree are counted there
-            prefix = np.array([members["labels"][k] for k in at], np.int64).view(np.uint64) >> np.uint64(drop)
-            for t in range(tree):
-                linked &= prefix[:, None, t] != prefix[None, :, t]
         texts, docs = linked.sum(axis=1), linked @ weight
         root = np.arange(len(nodes))
         while True:  # the smallest place that can be reached
@@ -231,18 +274,22 @@ def _verify(percent: int, drop: int):
             if (best == root).all():
                 break
             root = best
+        unit = members["unit"][0]
         for k in np.flatnonzero(texts):
-            yield int(nodes[k]), int(nodes[root[k]]), int(texts[k]), int(docs[k])
+            yield unit, int(nodes[k]), int(nodes[root[k]]), int(texts[k]), int(docs[k])
+        for s, n in enumerate(np.bincount(similarity[linked], minlength=1).tolist()):
+            if n:
+                yield unit, None, s, n // 2, 0
 
     def rows(batches):
         import pyarrow as pa
 
-        names = ["node", "near", "texts", "docs"]
+        names = ["unit", "node", "near", "texts", "docs"]
         held: dict[str, list] = {}
         current, out = None, []
         for batch in batches:
             columns = batch.to_pydict()
-            for at, key in enumerate(zip(columns["tree"], columns["unit"], columns["i"], columns["j"])):
+            for at, key in enumerate(zip(columns["unit"], columns["i"], columns["j"])):
                 if key != current:
                     if held:
                         out += block(held)
@@ -258,6 +305,34 @@ def _verify(percent: int, drop: int):
     return rows
 
 
+def compared(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The stored links within units of ``members`` (unit, node, size, n_shingles), all pairs of
+    each: rows of ``_verify``. A member's shingles are made once and sent once for each block that its
+    own is compared with, one for most units."""
+    total = members.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("sum")).filter("n > 1")
+    by_number, by_size = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("sum") / BLOCK_SHINGLES)
+    total = stage(total.select("unit", F.least("n", F.greatest(by_number, by_size)).cast("int").alias("blocks")), "blocks")
+    placed = members.join(total, "unit").select(
+        "unit", "node", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")
+    )
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))
+    )
+    key = ["unit", "i", "j"]
+    texts = broadcast_if_small(stage(placed, "members"), 64).join(docs.filter("text IS NOT NULL"), F.col("node") == F.col("doc_id"))
+    sets = texts.select("unit", "node", "size", "block", "blocks", "text").mapInArrow(
+        _sets, "unit long, node long, size long, block int, blocks int, grams binary"
+    )
+    return stage(
+        sets.select("unit", "node", "size", "block", "grams", F.explode(pairs).alias("p"))
+        .select("unit", "node", "size", "block", "grams", "p.i", "p.j")
+        .repartition(*key)
+        .sortWithinPartitions(*key)
+        .mapInArrow(_verify(percent), "unit long, node long, near long, texts long, docs long"),
+        "links",
+    )
+
+
 def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
     """Per row: doc_id, class_id (the smallest id of its group of near duplicates), text_id (the
     smallest id with the same shingles), n_copies (documents with the same shingles), n_links
@@ -273,7 +348,7 @@ def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: in
     classes = (
         signed.filter("print IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("n_copies"))
+        .agg(F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("n_copies"), F.max("n_shingles").alias("n_shingles"))
     )
     classes = stage(classes, "classes")
     first = signed.join(
@@ -284,48 +359,29 @@ def links(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, depth: in
     leaves = first.select(F.col("doc_id").alias("node"), F.posexplode("labels").alias("tree", "label")).select(
         "tree", "label", "node"
     )
-    match = depth_for(recall, percent, trees, depth)
     leaves = stage(leaves, "leaves")
-    group = components(candidate_edges(leaves, match, depth))
-
-    # what is compared: (tree, unit, node), whole groups or prefixes of large ones
-    counted = stage(group.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
-    drop = 8 * (depth - match)
-    sized = group.join(counted, "root")
-    whole = sized.filter(F.col("n") <= GROUP).select(F.lit(-1).alias("tree"), F.col("root").alias("unit"), "node")
-    shared = leaves.join(sized.filter(F.col("n") > GROUP).select("node"), "node").select(
-        "tree", F.call_function("shiftrightunsigned", "label", F.lit(drop)).alias("unit"), "node"
-    )
-    units = stage(whole.unionByName(shared), "units")
-    blocks = units.groupBy("tree", "unit").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    blocks = stage(blocks.select("tree", "unit", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
-    sizes = classes.groupBy("text_id").agg(F.sum("n_copies").alias("size"))
-    large = signed.filter("print IS NOT NULL").select(F.col("doc_id").alias("_node"), "labels")
-    large = large.join(sized.filter(F.col("n") > GROUP).select("node"), F.col("_node") == F.col("node"), "left_semi")
-    large = large.dropDuplicates(["_node"])
-    members = (
-        units.join(blocks, ["tree", "unit"])
-        .join(sizes, F.col("node") == F.col("text_id"))
-        .join(large, F.col("node") == F.col("_node"), "left")
-        .select(
-            "tree", "unit", "node", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "labels"
-        )
-    )
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))
-    )
-    key = ["tree", "unit", "i", "j"]
-    columns = ["tree", "unit", "node", "size", "block", "labels", "text"]
-    verified = stage(
-        broadcast_if_small(stage(members, "members"), 100 + F.when(F.col("labels").isNull(), 0).otherwise(8 * trees))
-        .join(docs.filter("text IS NOT NULL"), F.col("node") == F.col("doc_id"))
-        .select(*columns, F.explode(pairs).alias("p"))
-        .select(*columns, "p.i", "p.j")
-        .repartition(*key)
-        .sortWithinPartitions(*key)
-        .mapInArrow(_verify(percent, drop), "node long, near long, texts long, docs long"),
-        "links",
+    sizes = classes.groupBy(F.col("text_id").alias("node")).agg(
+        F.sum("n_copies").alias("size"), F.sum("n_shingles").alias("n_shingles")
     )
+
+    match, verified, before = depth, None, None
+    while True:
+        group = components(candidate_edges(leaves, match, depth))
+        units = stage(group.groupBy(F.col("root").alias("unit")).agg(F.count(F.lit(1)).alias("n")), "units")
+        # groups only grow: one of the same size is the same and was compared already
+        anew = units if before is None else units.join(before, ["unit", "n"], "left_anti")
+        members = group.withColumnRenamed("root", "unit").join(anew.select("unit"), "unit", "left_semi").join(sizes, "node")
+        found = compared(docs, members, percent)
+        if verified is not None:
+            kept = verified.join(units.join(before, ["unit", "n"], "left_semi").select("unit"), "unit", "left_semi")
+            found = found.unionByName(kept)
+        verified, before = found, units
+        by_similarity = verified.filter("node IS NULL").groupBy("near").agg(F.sum("texts").alias("n"))
+        shorter = next_depth({r["near"]: r["n"] for r in by_similarity.collect()}, match, recall, percent, trees)
+        if shorter == match:
+            break
+        match = shorter
+    verified = verified.filter("node IS NOT NULL")
     near = components(verified.select(F.col("node").alias("a"), F.col("near").alias("b")))
     counts = verified.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("linked"))
     # one row a class, so that the only join on a hot key is that of documents with their class
