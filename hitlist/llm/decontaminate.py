@@ -3,7 +3,9 @@
 Windows of the items (10 consecutive words; a shorter item is one window) make a small table
 keyed by a hash of the window. Every document's windows are hashed in its row, unfolded and
 looked up there; a hit counts if the words themselves are equal. The table is broadcast if
-its measured size is below ``BROADCAST_BYTES``; a larger one is joined by a shuffle.
+its measured size is below ``BROADCAST_BYTES``, and words are compared in the document's row. A
+larger one is joined by a shuffle of places and hashes alone, and the documents with candidates
+meet them afterwards, one row each, for the words: what is shuffled is linear in the text.
 
 ``contamination`` reports per document, ``remove`` cuts the hit words out of the texts and
 drops documents that are mostly hit.
@@ -53,43 +55,60 @@ def item_windows(bench: DataFrame, n: int = N) -> DataFrame:
     )
 
 
-def _hits(docs: DataFrame, bench: DataFrame, n: int, broadcast_bytes: int) -> DataFrame:
-    """Per row of (doc_id, text): n_words, rows (how often the row repeats), the hit places as
-    (position, size) and the items found."""
-    table = stage(item_windows(bench, n), "benchmark-windows")
-    sizes = table.select("size").distinct().collect()  # at most n rows
-    per_window = F.octet_length(F.array_join("window", " ")) + F.octet_length(F.array_join("items", " ")) + 100
-    table = broadcast_if_small(table, per_window, broadcast_bytes)
+def _places(docs: DataFrame, sizes: list[int], *kept: str) -> DataFrame:
+    """(doc_id, key, at, size, hash, n) and the ``kept`` columns of what is a word array ``ws`` in
+    the row: a row for each window of each size, and one of size 0 for the document, whose n is
+    its number of words."""
     ws = F.col("ws")
+    none = F.lit(None).cast("int")
 
     def found(size: int) -> Column:
         every = F.sequence(F.lit(0), F.greatest(F.size(ws) - size, F.lit(0)))
         places = F.transform(
-            every, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.slice(ws, i + 1, size)).alias("hash"))
+            every,
+            lambda i: F.struct(
+                i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.slice(ws, i + 1, size)).alias("hash"), none.alias("n")
+            ),
         )
         return F.when(F.size(ws) >= size, places).otherwise(F.array())
 
     # the first place stands for the document; it matches no window, as its size is 0
-    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("size"), F.col("key").alias("hash")))
-    places = (
+    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("size"), F.col("key").alias("hash"), F.size(ws).alias("n")))
+    return (
         docs.select("doc_id", text_key().alias("key"), words(F.col("text")).alias("ws"))
-        .select("doc_id", "key", "ws", F.concat(own, *(found(r["size"]) for r in sizes)).alias("places"))
+        .select("doc_id", "key", *kept, F.concat(own, *map(found, sizes)).alias("places"))
         # outer, though no array is empty: else a filter on the arrays' size is inferred and
         # pushed below, where it works out all windows once more
-        .select("doc_id", "key", "ws", F.explode_outer("places").alias("p"))
-        .select("doc_id", "key", "ws", "p.at", "p.size", "p.hash")
+        .select("doc_id", "key", *kept, F.explode_outer("places").alias("p"))
+        .select("doc_id", "key", *kept, "p.*")
+    )
+
+
+def _hits(docs: DataFrame, bench: DataFrame, n: int, broadcast_bytes: int) -> DataFrame:
+    """Per row of (doc_id, text): n_words, rows (how often the row repeats), the hit places as
+    (position, size) and the items found."""
+    table = stage(item_windows(bench, n), "benchmark-windows")
+    sizes = [r["size"] for r in table.select("size").distinct().collect()]  # at most n rows
+    per_window = F.octet_length(F.array_join("window", " ")) + F.octet_length(F.array_join("items", " ")) + 100
+    if (table.agg(F.sum(per_window)).first()[0] or 0) <= broadcast_bytes:
+        hits = _hits_in_rows(docs, F.broadcast(table.drop("size")), sizes)
+    else:
+        hits = _hits_by_shuffle(docs, table, sizes)
+    return hits.withColumn(
+        "hit_words",
+        F.array_sort(
+            F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["size"] - 1))))
+        ),
     )
-    joined = places.join(table.drop("size"), "hash", "left")
+
+
+def _hits_in_rows(docs: DataFrame, table: DataFrame, sizes: list[int]) -> DataFrame:
+    """Windows are looked up and compared where they are; only hits are shuffled."""
+    joined = _places(docs, sizes, "ws").join(table, "hash", "left")
     real = F.slice("ws", F.col("at") + 1, F.col("size")) == F.col("window")
     return (
         joined.filter((F.col("size") == 0) | real)
-        .select(
-            "doc_id",
-            "key",
-            F.when(F.col("size") == 0, F.size("ws")).alias("n"),
-            F.when(F.col("size") > 0, F.struct("at", "size")).alias("hit"),
-            "items",
-        )
+        .select("doc_id", "key", "n", F.when(F.col("size") > 0, F.struct("at", "size")).alias("hit"), "items")
         .groupBy("doc_id", "key")
         .agg(
             F.max("n").cast("long").alias("n_words"),
@@ -97,14 +116,44 @@ def _hits(docs: DataFrame, bench: DataFrame, n: int, broadcast_bytes: int) -> Da
             F.collect_set("hit").alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
-        .withColumn(
-            "hit_words",
-            F.array_sort(
-                F.array_distinct(
-                    F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["size"] - 1)))
-                )
-            ),
+    )
+
+
+def _hits_by_shuffle(docs: DataFrame, table: DataFrame, sizes: list[int]) -> DataFrame:
+    """Windows are shuffled by their hash, without words; documents with a candidate meet theirs in
+    one row each, and the words are compared there."""
+    places = _places(docs, sizes)
+    counts = places.filter("size = 0").groupBy("doc_id", "key").agg(F.max("n").cast("long").alias("n_words"), F.count("n").alias("rows"))
+    candidates = (
+        places.filter("size > 0")
+        .join(table, ["hash", "size"])
+        .groupBy("doc_id", "key")
+        .agg(F.collect_set(F.struct("at", "size", "window", "items")).alias("found"))
+        .select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), "found")
+    )
+    candidates = stage(candidates, "benchmark-candidates")
+    size = F.aggregate("found", F.lit(100), lambda acc, c: acc + 200 + F.octet_length(F.array_join(c["items"], " ")))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key"))
+    texts = docs.withColumn("key", text_key()).join(broadcast_if_small(candidates, size), same)
+    real = F.filter("found", lambda c: F.slice(F.col("ws"), c["at"] + 1, c["size"]) == c["window"])
+    checked = (
+        texts.select("doc_id", "key", words(F.col("text")).alias("ws"), "found")
+        .select("doc_id", "key", real.alias("real"))
+        .select(
+            F.col("doc_id").alias("_doc_id"),
+            F.col("key").alias("_key"),
+            F.transform("real", lambda c: F.struct(c["at"].alias("at"), c["size"].alias("size"))).alias("hits"),
+            F.array_sort(F.array_distinct(F.flatten(F.transform("real", lambda c: c["items"])))).alias("items"),
         )
+        .dropDuplicates(["_doc_id", "_key"])  # rows that repeat
+    )
+    return counts.join(checked, same, "left").select(
+        "doc_id",
+        "key",
+        "n_words",
+        "rows",
+        F.coalesce("hits", F.array().cast("array<struct<at:int,size:int>>")).alias("hits"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from hitlist.llm import chat, licenses, neardup, packing, pii, quality, queries, substrings
+from hitlist.llm import chat, decontaminate, licenses, neardup, packing, pii, quality, queries, substrings
 from hitlist.llm.shared import load_tokenizer, public_tokenizer, table
 from tests.llm import brute
 from tests.llm.test_odd_tables import check_packing
@@ -52,11 +52,13 @@ def test_op1_hot_group_in_blocks(spark, monkeypatch):
     base = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join(base[:90] + [f"v{i}"] * (i % 3) + base[90:])) for i in range(60)]
     rows += [(100 + i, " ".join(base)) for i in range(40)] + [(200, "alone " * 3), (201, "b c d")]
-    monkeypatch.setattr(neardup, "BLOCK", 16)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for group in (4096, 4):  # compared whole, and by common prefixes
-        monkeypatch.setattr(neardup, "GROUP", group)
-        assert {r.doc_id: (r.class_id, r.n_links) for r in neardup.links(df).collect()} == brute.links(rows)
+    want = brute.links(rows)
+    # one block, blocks by number of members, and by their shingles
+    for block, grams in ((1024, 1 << 20), (16, 1 << 20), (1024, 700)):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        monkeypatch.setattr(neardup, "BLOCK_SHINGLES", grams)
+        assert {r.doc_id: (r.class_id, r.n_links) for r in neardup.links(df).collect()} == want
 
 
 def test_op1_chains(spark):
@@ -409,3 +411,12 @@ def test_pipeline(spark, docs):
     assert {tuple(r) for r in corpus_pipeline.run(spark, SF).drop("sequence_id", "offset").collect()} == {
         tuple(r) for r in frames[-1].drop("sequence_id", "offset").collect()
     }
+
+
+def test_op5_by_a_shuffle_gives_the_same(spark):
+    docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    docs = docs.unionByName(docs.filter("doc_id % 7 = 0"))
+    a, b = (decontaminate.contamination(docs, bench, broadcast_bytes=limit) for limit in (1 << 25, 0))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    # a place that is shuffled has no words with it
+    assert decontaminate._places(docs, [10, 4]).columns == ["doc_id", "key", "at", "size", "hash", "n"]
