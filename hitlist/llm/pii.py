@@ -1,8 +1,10 @@
 """Keyed surrogates for personal data, in SQL expressions.
 
-``find`` lists what a text holds of: e-mail addresses, IPv4 addresses, secrets (long hex runs
-and assigned keys), card numbers, telephone numbers, social security numbers and names of
-persons (after a title, or a known first name with a surname).
+``find`` lists what a text holds of: e-mail addresses, IPv4 and IPv6 addresses, secrets (long hex
+runs, assigned keys and passwords of any length, access key ids, bearer tokens, IBANs), card
+numbers, telephone numbers, social security numbers and names of persons (after a title, or a
+known first name with a surname, initials between them). What is assigned to a token or secret by
+a colon must be quoted, have a digit, or 8 characters, as prose has colons too.
 
 ``surrogates`` gives every distinct entity of the corpus one replacement, a keyed digest cut
 to the entity's type: digits for digits, valid octets, the same count of hex digits, a check
@@ -66,16 +68,34 @@ EMAIL = rf"(?<![{_LOCAL}])[{_LOCAL}]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Z
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![{_W}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 HEX = r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,}+(?![A-Za-z0-9])"
-_KEY = r"(?:[Tt]oken|[Ss]ecret|[Pp]assword|[Pp]asswd|[Aa][Pp][Ii][_\-]?[Kk]ey)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+IPV6 = (
+    rf"(?<![{_W}:.])(?:(?:[A-Fa-f0-9]{{1,4}}:){{7}}[A-Fa-f0-9]{{1,4}}|(?=[A-Fa-f:]*\d)(?:[A-Fa-f0-9]{{1,4}}:){{2,6}}(?::[A-Fa-f0-9]{{1,4}}){{1,6}})"
+    rf"(?![{_W}:])"
+)
+ACCESS = r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])"
+IBAN = rf"(?<![{_W}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_W}])"
+_SET = r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+_STRONG = r"(?:[Pp]assword|[Pp]asswd|[Aa][Pp][Ii][_\-]?[Kk]ey)"
+_WEAK = r"(?:[Tt]oken|[Ss]ecret)"
+_BEARER = r"[Bb]earer\s{1,3}"
+_KEY = rf"(?:(?:{_STRONG}|{_WEAK}){_SET}|{_BEARER})"
 # what is assigned: to the closing quote on its line, else to white space or a quote, less signs at the end
-_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*?[{_W}])[^{q}\r\n]{{8,}}+(?={q})" for q in "\"'")
-ASSIGNED = rf"(?<![A-Za-z]){_KEY}(?:{_QUOTED}|[^\s\p{{Z}}\"']{{7,}}[{_W}])"
+_QUOTED = "|".join(rf"(?<={q})(?=[^{q}\r\n]*?[{_W}])[^{q}\r\n]++(?={q})" for q in "\"'")
+_PLAIN = rf"[^\s\p{{Z}}\"']*[{_W}]"
+_LONG = rf"[^\s\p{{Z}}\"']{{7,}}[{_W}]"
+ASSIGNED = (
+    rf"(?<![A-Za-z])(?:{_STRONG}{_SET}(?:{_QUOTED}|{_PLAIN})"
+    rf"|{_WEAK}{_SET}(?:{_QUOTED}|{_LONG}|(?<==)\s{{0,3}}{_PLAIN}|(?=[^\s\p{{Z}}\"']*\d){_PLAIN})"
+    rf"|{_BEARER}(?=[^\s\p{{Z}}\"']*[\d.]){_LONG})"
+)
 CARD = rf"(?<![{_W}])(?:\d{{13,19}}+|\d{{4}}(?:[ \-]\d{{4}}){{2}}[ \-]\d{{1,7}})(?![{_W}])"
 PHONE = (
     rf"(?<![{_W}+])(?:\+\d{{1,3}}[ .\-]?)?\(\d{{2,4}}\)[ .\-]?\d{{3,4}}[ .\-]?\d{{3,4}}(?!\d)"
     rf"|(?<![{_W}.])\+\d{{1,3}}(?:[ .\-]?\d{{2,4}}){{2,4}}(?!\d)"
-    rf"|(?<![{_W}.\-])\d{{3}}[.\-]\d{{3}}[.\-]\d{{4}}(?![\d\-])"
+    rf"|(?<![{_W}.\-])\d{{3}}[.\- ]\d{{3}}[.\- ]\d{{4}}(?![ \-]?\d)"
+    rf"|(?<![{_W}.\-])0\d{{2,4}}[ /\-]\d{{5,8}}(?![ \-]?\d)"
 )
+_LOCAL_PHONE = r"^(\d{3}[.\- ]\d{3}[.\- ]\d{4}|0\d{2,4}[ /\-]\d{5,8})$"
 SSN = rf"(?<![{_W}\-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d\-])"
 # with inner capitals, and apostrophes and hyphens before a capital
 _NAME = r"\p{Lu}(?:\p{L}|['’\-](?=\p{Lu}))++"
@@ -84,15 +104,26 @@ _FIRST = "(?:" + "|".join(FIRST_NAMES["m"] + FIRST_NAMES["f"]) + ")"
 _FIRST = rf"{_FIRST}(?:-{_FIRST})?"
 _CAPITALS = "[" + "".join(sorted({n[0] for names in (*TITLES.values(), *FIRST_NAMES.values()) for n in names})) + "]"
 # the names' first letters come first, so that most places fail at one character
-PERSON = rf"(?={_CAPITALS})(?<![{_W}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_FIRST} {_NAME})(?!\p{{L}})"
+# a name that is no word that begins a sentence, and initials before it
+_SENTENCE = "|".join(sorted((w.capitalize() for w in SENTENCE_WORDS), key=lambda w: (-len(w), w)))
+_SURNAME = rf"(?!(?:{_SENTENCE})(?!\p{{L}})){_NAME}"
+_INITIALS = r"(?: \p{Lu}\.)*"
+PERSON = (
+    rf"(?={_CAPITALS})(?<![{_W}])(?:{_TITLE} {_SURNAME}(?:{_INITIALS} {_SURNAME})?|{_TITLE}(?: \p{{Lu}}\.)+ {_SURNAME}"
+    rf"|{_FIRST}{_INITIALS} {_SURNAME})(?!\p{{L}})"
+)
 _NUMBERS = "|".join(f"(?:{p})" for p in (IP, CARD, PHONE, SSN))
-PATTERN = rf"(?:{EMAIL})|(?=[0-9(+])(?:{_NUMBERS})|(?:{HEX})|(?=[TtSsPpAa])(?:{ASSIGNED})|(?:{PERSON})"
+_HEXES = "|".join(f"(?:{p})" for p in (IPV6, HEX))
+_CODES = "|".join(f"(?:{p})" for p in (ACCESS, IBAN))
+PATTERN = (
+    rf"(?:{EMAIL})|(?=[0-9(+])(?:{_NUMBERS})|(?=[0-9A-Fa-f])(?:{_HEXES})|(?=[TtSsPpAaBb])(?:{ASSIGNED})|(?=[A-Z][A-Z])(?:{_CODES})|(?:{PERSON})"
+)
 
 
 def has_find(text: Column) -> Column:
     """Whether the pattern matches; texts without a digit, an at sign, a key or a name fail
     by cheaper searches."""
-    hint = text.rlike("[0-9@]") | text.rlike(rf"(?=[TtSsPpAa]){ASSIGNED}") | text.rlike(PERSON)
+    hint = text.rlike("[0-9@]") | text.rlike(rf"(?=[TtSsPpAaBb]){ASSIGNED}") | text.rlike(PERSON)
     return F.coalesce(hint & text.rlike(PATTERN), F.lit(False))
 
 
@@ -120,11 +151,14 @@ def _parts(match: Column) -> Column:
     words = F.split(match, " ")
     titled = match.rlike(rf"^{_TITLE} ")
     men = F.regexp_replace(words[0], r"\.$", "").isin(TITLES["m"])
+    initial = r"^\p{Lu}\.$"
+    several = F.size(F.filter(words, lambda w: ~w.rlike(initial))) == 3  # title, first name and surname
 
     def person(word: Column, at: Column) -> Column:
-        first = F.when(titled, (at == 1) & (F.size(words) == 3)).otherwise(at == 0)
+        first = F.when(titled, (at == 1) & several).otherwise(at == 0)
         gender = F.when(F.when(titled, men).otherwise(F.split(word, "-")[0].isin(FIRST_NAMES["m"])), "m").otherwise("f")
-        kind = F.when(titled & (at == 0), F.lit(None)).when(first, F.concat(F.lit("first_"), gender)).otherwise(F.lit("last_"))
+        unnamed = (titled & (at == 0)) | word.rlike(initial)
+        kind = F.when(unnamed, F.lit(None)).when(first, F.concat(F.lit("first_"), gender)).otherwise(F.lit("last_"))
         # the space between words belongs to the word before it
         surface = F.concat(word, F.when(at < F.size(words) - 1, " ").otherwise(""))
         return F.struct(surface.alias("surface"), F.concat(kind, F.lit(" "), _script(word)).alias("type"), _canon_name(word).alias("canon"))
@@ -139,8 +173,9 @@ def _parts(match: Column) -> Column:
         F.when(match.rlike(f"^{_KEY}"), assigned)
         .when(match.contains("@"), single("email", F.lower(match)))
         .when(match.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), single("ip", match))
+        .when(match.rlike(r"^[A-Fa-f0-9]{1,4}:"), single("ipv6", F.lower(match)))
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), single("ssn", digits))
-        .when(match.rlike(r"^[+(]") | match.rlike(r"^\d{3}[.\-]\d{3}[.\-]\d{4}$"), single("phone", digits))
+        .when(match.rlike(r"^[+(]") | match.rlike(_LOCAL_PHONE), single("phone", digits))
         .when(match.rlike(r"^\d[\d \-]*$") & F.length(digits).between(13, 19), single("card", digits))
         .when(match.rlike(rf"^(?:{PERSON})$"), F.transform(words, person))
         .otherwise(single("secret", match))
@@ -208,6 +243,8 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     at_sign = F.instr(canon, "@")
     email = F.concat(F.substring(shape, F.lit(1), at_sign), F.lit("mail"), F.substring(own, 1, 8), grown, F.lit(".example.net"))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: _byte(s, i).cast("string")), ".")
+    # of the range for documents, as mail domains are
+    groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.substring(own, i * 4 + 9, F.lit(4))), ":")
     body = F.concat(F.substring(shape, F.lit(1), F.length(canon) - 1), grown_digits)
     check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     card = F.when(_luhn(canon) % 10 == 0, F.concat(body, check)).otherwise(F.concat(shape, grown_digits))
@@ -224,6 +261,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
     made = (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
+        .when(kind == "ipv6", F.concat(F.lit("2001:db8:"), groups))
         .when(kind == "card", card)
         .when(kind == "phone", phone)
         .when(kind == "ssn", F.concat(shape, grown_digits))
@@ -298,7 +336,7 @@ def _render(surface: Column, kind: Column, made: Column) -> Column:
         F.when(kind.isNull(), surface)
         .when(kind.isin("phone", "card", "ssn"), filled)
         .when(kind == "email", F.when(loud, F.upper(made)).otherwise(made))
-        .when(kind.isin("ip", "secret"), made)
+        .when(kind.isin("ip", "ipv6", "secret"), made)
         .otherwise(F.concat(_name_like(surface, made), F.regexp_extract(surface, " $", 0)))
     )
 
@@ -311,14 +349,41 @@ def _name_like(surface: Column, made: Column) -> Column:
 _WORDS = rf"(?<![{_W}]){_NAME}|[^\p{{Lu}}]++|\p{{Lu}}"
 
 
+def _looked_up(persons: Column, canon: Column) -> Column:
+    """What the last of ``persons`` (canon, type, made), sorted, with this canon has made, else
+    null: by halving, so a text of many persons and words takes hardly more a word."""
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(persons))).cast("int"))
+
+    def halved(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["lo"] + acc["hi"], 1)
+        above = F.get(persons, middle)["canon"] > canon
+        done = acc["lo"] >= acc["hi"]
+        return F.struct(
+            F.when(done | above, acc["lo"]).otherwise(middle + 1).alias("lo"),
+            F.when(done | ~above, acc["hi"]).otherwise(middle).alias("hi"),
+        )
+
+    bounds = F.struct(F.lit(0).alias("lo"), F.size(persons).alias("hi"))
+    after = F.aggregate(steps, bounds, halved, lambda acc: acc["lo"])
+    # lo is the place of the first greater one
+    return F.element_at(
+        F.transform(F.array(F.get(persons, after - 1)), lambda p: F.when(p["canon"] == canon, p["made"])), 1
+    )
+
+
 def _alone(gap: Column, persons: Column) -> Column:
-    """The pieces of what stands between finds as (text, hit), with the ``persons`` (type, canon,
+    """The pieces of what stands between finds as (text, hit), with the ``persons`` (canon, type,
     made) of the document replaced; a word that is surname and first name is the surname."""
 
     def piece(word: Column) -> Column:
-        known = F.filter(persons, lambda p: p["canon"] == _canon_name(word))
-        named = F.transform(F.array(F.struct(F.get(F.reverse(known), F.lit(0)).alias("p"))), lambda x: x["p"]["made"])[0]
-        return F.struct(F.coalesce(_name_like(word, named), word).alias("text"), named.isNotNull().alias("hit"))
+        named = F.transform(F.array(_canon_name(word)), lambda canon: _looked_up(persons, canon))
+        made = F.when(word.rlike(r"^\p{Lu}[\p{L}'’\-]"), F.element_at(named, 1))
+        return F.element_at(
+            F.transform(
+                F.array(made), lambda m: F.struct(F.coalesce(_name_like(word, m), word).alias("text"), m.isNotNull().alias("hit"))
+            ),
+            1,
+        )
 
     return F.transform(F.regexp_extract_all(gap, F.lit(_WORDS), F.lit(0)), piece)
 
@@ -332,24 +397,33 @@ def replace(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
     ).select("doc_id", "key", "i", "j", "p.*")
     entities = stage(each.filter("type IS NOT NULL").select("type", "canon").distinct(), "pii-entities")
     chosen = surrogates(entities, key)
-    parts = each.join(chosen, ["type", "canon"], "left").select(
-        "doc_id", "key", "type", "canon", "made", F.struct("i", "j", _render(F.col("surface"), F.col("type"), F.col("made")).alias("s")).alias("p")
-    )
+    rendered = _render(F.col("surface"), F.col("type"), F.col("made"))
     is_person = F.col("type").rlike("^(first|last)_") & ~F.col("canon").isin(*sorted(SENTENCE_WORDS))
-    by_doc = parts.groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_list("p")).alias("parts"),
-        F.count(F.when(F.col("p.j") == 0, 1)).alias("n"),
-        F.sort_array(F.collect_set(F.when(is_person, F.struct("type", "canon", "made")))).alias("persons"),
-        F.array_join(F.array_sort(F.collect_set(F.split("type", "[_ ]")[0])), ",").alias("types"),
+    person = F.when(is_person, F.struct("canon", "type", "made"))
+    # a match's parts first, then a document's matches: both from rows of the same partition
+    matches = (
+        each.join(chosen, ["type", "canon"], "left")
+        .select("doc_id", "key", "i", "j", "type", rendered.alias("text"), person.alias("person"))
+        .repartition("doc_id", "key")
+        .groupBy("doc_id", "key", "i")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("j", "text"))).alias("parts"),
+            F.collect_set("person").alias("persons"),
+            F.collect_set(F.split("type", "[_ ]")[0]).alias("types"),
+        )
+        .select("doc_id", "key", "persons", "types", F.struct("i", F.array_join(F.col("parts.text"), "").alias("text")).alias("match"))
+    )
+    by_doc = matches.groupBy("doc_id", "key").agg(
+        F.array_sort(F.collect_list("match")).alias("matches"),
+        F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("persons")))).alias("persons"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("types")))), ",").alias("types"),
     )
     other, own, key_, new, who, n, kinds = fresh(docs, "other", "own", "key", "new", "persons", "n_entities", "types")
     by_match = by_doc.select(
         F.col("doc_id").alias(other),
         F.col("key").alias(key_),
-        F.transform(
-            F.sequence(F.lit(0), F.col("n").cast("int") - 1),
-            lambda i: F.array_join(F.transform(F.filter("parts", lambda p: p["i"] == i), lambda p: p["s"]), ""),
-        ).alias(new),
+        F.col("matches.text").alias(new),
         F.col("persons").alias(who),
         F.col("n").alias(n),
         F.col("types").alias(kinds),
