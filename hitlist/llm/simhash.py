@@ -262,9 +262,10 @@ def links(prints: DataFrame, errors: int = ERRORS, block: int = BLOCK) -> DataFr
     spark = prints.sparkSession
     if not 0 <= errors <= ERRORS:
         raise ValueError("the keys hold for at most 4 errors")
-    # a number of partitions of its own: a row becomes about a hundred
+    # a number of partitions of its own, as a row becomes about a hundred, and by an expression
+    # of its own, else the planner takes the one of the distinct for it
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select("fingerprint").distinct().repartition(tasks, "fingerprint")
+    distinct = prints.select("fingerprint").distinct().repartition(tasks, F.xxhash64("fingerprint"))
     keyed = stage(distinct.mapInArrow(_keys, "unit long, fingerprint long"), "golay-keys")
     hot = keyed.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     hot = stage(hot.select("unit", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot-keys")
