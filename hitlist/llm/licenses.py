@@ -1,10 +1,12 @@
 """Licence notices in texts: exact phrases, and short notices with a bounded number of edits.
 
 Texts are looked at as their words: lower-cased in A-Z, joined by single spaces. ``PHRASES``
-are found exactly. A notice of ``NOTICES`` may have up to ``edits`` character edits: it is
+are found exactly. A notice of ``NOTICES`` may have up to ``edits`` edits of code points: it is
 split into one more piece than that, so at least one piece of any match is unchanged. One
-automaton finds all pieces of all notices; around each hit the ``regex`` library looks for the
-best match within the bound, which gives its edits and span.
+automaton finds all pieces of all notices; the few spans of whole words that a hit can belong
+to are matched by the ``regex`` library within the bound, which gives the edits. Words that tell licences
+apart (``EXACT``) must stand in it unchanged, and of overlapping matches of several notices the
+one with the fewest edits stays (then the longest notice).
 
 Null text has no words. Rows that repeat an id are scanned row by row. An empty table gives
 an empty result. Other columns are ignored.
@@ -12,6 +14,7 @@ an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -42,6 +45,9 @@ NOTICES = [
     ("all rights reserved", "reserved"),
 ]
 
+# Words whose change makes another licence of a notice.
+EXACT = {"mit", "apache", "lesser", "affero", "nc", "sa", "mozilla"}
+
 #: One edit for so many characters of a notice, so pieces are about as long.
 CHARS_AN_EDIT = 12
 
@@ -85,7 +91,7 @@ def _seeds(notices: tuple):
 def _fuzzy(notice: str):
     import regex
 
-    return regex.compile(rf"(?e)(?:{regex.escape(notice)}){{e<={edits(notice)}}}")
+    return regex.compile(rf"(?b)(?:{regex.escape(notice)}){{e<={edits(notice)}}}")
 
 
 def exact(joined: bytes) -> list[tuple[int, str]]:
@@ -95,35 +101,55 @@ def exact(joined: bytes) -> list[tuple[int, str]]:
     padded, out = b" " + joined + b" ", []
     for phrase, label in PHRASES.items():
         phrase = f" {phrase} ".encode()
-        at = padded.find(phrase)
+        word, seen, at = 0, 0, padded.find(phrase)
         while at >= 0:
-            out.append((padded.count(b" ", 0, at), label))
+            word, seen = word + padded.count(b" ", seen, at), at
+            out.append((word, label))
             at = padded.find(phrase, at + 1)
     return out
 
 
-def fuzzy(joined: str, notices: tuple) -> list[tuple[int, int, int, int]]:
-    """(notice, start, end, edits) of the matches in a joined text, one for each stretch of
-    text around seeds."""
-    spans: dict[int, list] = {}
+def _candidates(joined: str, notices: tuple) -> set[tuple[int, int, int]]:
+    """(notice, start, end): the spans of whole words that hold a piece of the notice, at most the
+    allowed edits away from its place, and are long enough and not too long."""
+    out = set()
     for last, (size, where) in _seeds(notices).iter(joined):
         for number, at in where:
             notice = notices[number][0]
-            k, start = edits(notice), last + 1 - size - at
-            lo, hi = max(0, start - k), min(len(joined), start + len(notice) + k)
-            mine = spans.setdefault(number, [])
-            if mine and lo <= mine[-1][1]:
-                mine[-1][0], mine[-1][1] = min(lo, mine[-1][0]), max(hi, mine[-1][1])
-            else:
-                mine.append([lo, hi])
-    out = []
-    for number, mine in spans.items():
-        pattern = _fuzzy(notices[number][0])
-        for lo, hi in mine:
-            while lo < hi and (m := pattern.search(joined, lo, hi)):
-                out.append((number, m.start(), m.end(), sum(m.fuzzy_counts)))
-                lo = max(m.end(), lo + 1)
-    return sorted(out)
+            n, k, start = len(notice), edits(notice), last + 1 - size - at
+            near = range(max(0, start - k), start + k + 1)
+            firsts = [a for a in near if a == 0 or joined[a - 1 : a] == " "]
+            if not firsts:
+                continue
+            ends = range(max(0, start + n - k), min(len(joined), start + n + k) + 1)
+            lasts = [b for b in ends if b == len(joined) or joined[b] == " "]
+            out.update((number, a, b) for a in firsts for b in lasts if abs(b - a - n) <= k)
+    return out
+
+
+def _best(found: list, notices: tuple) -> list:
+    """Of overlapping matches the one with the fewest edits, then of the longest notice."""
+    starts: list[int] = []
+    kept: list = []
+    for match in sorted(found, key=lambda m: (m[3], -len(notices[m[0]][0]), m[1])):
+        at = bisect_right(starts, match[1])
+        if (at and kept[at - 1][2] > match[1]) or (at < len(kept) and kept[at][1] < match[2]):
+            continue
+        starts.insert(at, match[1])
+        kept.insert(at, match)
+    return kept
+
+
+def fuzzy(joined: str, notices: tuple) -> list[tuple[int, int, int, int]]:
+    """(notice, start, end, edits) of the matches in a joined text, in order of their starts."""
+    found = []
+    for number, a, b in _candidates(joined, notices):
+        notice = notices[number][0]
+        if not EXACT.intersection(notice.split()).issubset(joined[a:b].split()):
+            continue
+        if m := _fuzzy(notice).fullmatch(joined, a, b):
+            found.append((number, a, b, sum(m.fuzzy_counts)))
+    return _best(found, notices)
 
 
 def _scan(notices: tuple):
@@ -136,16 +162,18 @@ def _scan(notices: tuple):
                 ws = words(text.as_py())
                 joined = b" ".join(ws)
                 base = exact(joined)
-                found = [
-                    {
-                        "label": notices[n][1],
-                        "first_word": joined.count(b" ", 0, a + 1),
-                        "last_word": joined.count(b" ", 0, max(a, b - 1)),
-                        "edits": e,
-                        "score": 1 - e / len(notices[n][0]),
-                    }
-                    for n, a, b, e in fuzzy(joined.decode("latin-1"), notices)
-                ]
+                characters, found, word, seen = joined.decode(), [], 0, 0
+                for n, a, b, e in fuzzy(characters, notices):
+                    word, seen = word + characters.count(" ", seen, a), a
+                    found.append(
+                        {
+                            "label": notices[n][1],
+                            "first_word": word,
+                            "last_word": word + characters.count(" ", a, b),
+                            "edits": e,
+                            "score": 1 - e / len(notices[n][0]),
+                        }
+                    )
                 labels = {label for _, label in base}
                 made.append(
                     (

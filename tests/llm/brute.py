@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -97,11 +99,41 @@ def phrases(text, known):
     return len(w), sorted(found)
 
 
-def edit_distance_in(text, notice):
-    """The fewest edits between the notice and any stretch of the text."""
-    row = [0] * (len(text) + 1)
-    for i, a in enumerate(notice, 1):
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
         before, row = row, [i]
-        for j, b in enumerate(text, 1):
-            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (a != b)))
-    return min(row)
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def near_spans(joined, notice, most, exact):
+    """(start, end, edits) of all spans of whole words within ``most`` edits of the notice that
+    hold its words of ``exact``."""
+    text = np.frombuffer(f"{joined} ".encode("utf-32-le"), dtype="<u4")
+    starts = np.flatnonzero(np.concatenate(([True], text[:-1] == 32)))
+    # edits up to each place: free to start where a word starts, and nowhere else
+    places = np.arange(len(text) + 1)
+    row = np.minimum.accumulate(np.where(np.isin(places, starts), 0, 1 << 20) - places) + places
+    for c in notice:
+        step = np.concatenate(([row[0] + 1], np.minimum(row[1:] + 1, row[:-1] + (text != ord(c)))))
+        row = np.minimum.accumulate(step - places) + places
+    needed, out = exact & set(notice.split()), []
+    for end in np.flatnonzero((row[:-1] <= most) & (text == 32)):
+        for start in starts[(starts >= end - len(notice) - most) & (starts < end)]:
+            span = joined[start:end]
+            if needed <= set(span.split()) and (d := distance(span, notice)) <= most:
+                out.append((int(start), int(end), d))
+    return out
+
+
+def notices(joined, known, edits, exact):
+    """(notice, start, end, edits): all matches, those with the fewest edits first, then of the
+    longest notice, each that overlaps none before it."""
+    found = [(n, *m) for n, (notice, _) in enumerate(known) for m in near_spans(joined, notice, edits(notice), exact)]
+    kept = []
+    for m in sorted(found, key=lambda m: (m[3], -len(known[m[0]][0]), m[1])):
+        if all(m[2] <= k[1] or k[2] <= m[1] for k in kept):
+            kept.append(m)
+    return kept
