@@ -23,6 +23,7 @@ from hitlist.schemas import CHART_TYPED, LENGTH_LIMITS
 from hitlist.session import store
 from hitlist.sources import bootstrap_flagged, chart_rows, employee_rows, inferred
 from hitlist.sources.bucketed import store_bucketed
+from hitlist.sources.clustered import store_clustered
 from hitlist.streaming import refresh
 
 
@@ -322,6 +323,7 @@ REGISTRY: dict[str, Q] = {
     "songs_debut_peak": lambda f: f.songs("debut"),
     "songs_best_peak": lambda f: f.songs("best"),
     "entries": lambda f: f.entries(),
+    "entries_clustered": lambda f: store_clustered(store(f.entries(), "entries"), "entries-clustered", upsert.ENTRY_KEY),
     "artists": lambda f: f.artists,
     "features_primary": lambda f: model.features_primary(f.clean, f.songs(), f.artists),
     "features": lambda f: f.features(),

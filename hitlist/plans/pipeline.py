@@ -4,7 +4,9 @@ Every stage is written as a Parquet table under ``{root}/{version}/{stage}/{tabl
 and read back for the next stage: the written table cuts lineage (a lost executor
 recomputes from it, not from the scans). A refresh writes a *new* version folder with
 what is new (S7), of songs those that changed (merged on read); a marker written last lists
-the versions a version consists of, so a refresh that stops midway is never read. ``compact``
+the versions a version consists of, so a refresh that stops midway is never read, and holds the
+high-water mark (S4), counted while the chart is written, so that the next refresh reads no
+stored row for it. ``compact``
 packs small batches into one, and ``expire`` deletes folders that no kept version consists of.
 Summaries are full-replace tables (S8), finished from mergeable sums that a refresh
 changes by what its drop touched; their row order is applied on read (S13).
@@ -12,8 +14,10 @@ changes by what its drop touched; their row order is applied on read (S13).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,19 +71,42 @@ def _read(spark: SparkSession, root: str, batches: list[str], stage: str, table:
     return spark.read.parquet(*[path(root, b, stage, table) for b in batches])
 
 
-def _complete(spark: SparkSession, root: str, version: str, batches: list[str]) -> None:
-    """The marker of a whole version, written last: the versions whose folders it consists of."""
-    spark.createDataFrame([(batches,)], "batches array<string>").write.mode("overwrite").parquet(path(root, version, "source", MARKER))
+def _store_chart(spark: SparkSession, df: DataFrame, root: str, version: str) -> tuple[DataFrame, dt.date | None]:
+    """The cleaned chart of a batch as stored, and its newest date, found while it is written."""
+    seen = Observation()
+    counted = conform(df, schemas.CHART_CLEAN).observe(seen, F.max("Date").alias("newest"))
+    return _store(spark, counted, path(root, version, "source", "clean")), seen.get["newest"]
 
 
-def batches_of(spark: SparkSession, root: str, version: str) -> list[str] | None:
-    """The versions that ``version`` consists of, itself last; None if it isn't complete."""
+def _complete(spark: SparkSession, root: str, version: str, batches: list[str], newest: dt.date | None) -> None:
+    """The marker of a whole version, written last: the versions whose folders it consists of, and
+    the newest date of its chart (null: no dated row)."""
+    marker = spark.createDataFrame([(batches, newest)], "batches array<string>, newest date")
+    marker.write.mode("overwrite").parquet(path(root, version, "source", MARKER))
+
+
+def _marker(spark: SparkSession, root: str, version: str):
     try:
-        return list(spark.read.parquet(path(root, version, "source", MARKER)).first().batches)
+        return spark.read.parquet(path(root, version, "source", MARKER)).first()
     except AnalysisException:
         return None
 
 
+def batches_of(spark: SparkSession, root: str, version: str) -> list[str] | None:
+    """The versions that ``version`` consists of, itself last; None if it isn't complete."""
+    row = _marker(spark, root, version)
+    return None if row is None else list(row.batches)
+
+
+def newest_of(spark: SparkSession, root: str, version: str) -> dt.date | None:
+    """The high-water mark of a complete version, from its marker; a marker that was written
+    without one has it read from the chart."""
+    row = _marker(spark, root, version)
+    if row is not None and "newest" in row:
+        return row.newest
+    return refresh.high_water_mark(read_chart(spark, root, version)["clean"]).first().hwm
+
+
 def read_summary(spark: SparkSession, root: str, version: str, name: str) -> DataFrame:
     """Read back a summary in its stated order (NULLS LAST, as PostgreSQL)."""
     df = spark.read.parquet(path(root, version, "gold", name))
@@ -114,7 +141,7 @@ def _states(spark: SparkSession, root: str, version: str, m: dict[str, DataFrame
 def bootstrap(spark: SparkSession, raw: DataFrame, root: str, version: str = "v1", peak: str = "debut") -> dict[str, DataFrame]:
     """Raw load (S2, S3), cleaning (U1-U11), star model (M1-M6), summaries (A1-A3)."""
     stored_raw = _store(spark, bootstrap_flagged(raw), path(root, version, "source", "raw"))
-    clean = _store(spark, cleaning.clean(stored_raw), path(root, version, "source", "clean"), schemas.CHART_CLEAN)
+    clean, newest = _store_chart(spark, cleaning.clean(stored_raw), root, version)
     m: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> None:
@@ -126,7 +153,7 @@ def bootstrap(spark: SparkSession, raw: DataFrame, root: str, version: str = "v1
     put("entries", model.entries(clean, m["songs"]))
     put("features", model.features(clean, m["songs"], m["artists"]))
     _chart_summaries(spark, root, version, {name: summaries.state(name, m) for name in CHART_SUMMARIES})
-    _complete(spark, root, version, [version])
+    _complete(spark, root, version, [version], newest)
     return {"clean": clean, **m}
 
 
@@ -173,9 +200,10 @@ def weekly(
     def put(stage: str, name: str, df: DataFrame, schema: T.StructType) -> DataFrame:
         return _store(spark, df, path(root, to_version, stage, name), schema)
 
-    fresh = refresh.new_rows(cleaning.typed_weekly(incoming_raw), old["clean"])
+    mark = newest_of(spark, root, from_version)
+    fresh = refresh.rows_after(cleaning.typed_weekly(incoming_raw), F.lit(mark).cast("date"))
     cleaned = cleaning.flags_reset(cleaning.clean_new_rows(fresh, standardize_featured))
-    new = put("source", "clean", cleaned, schemas.CHART_CLEAN)
+    new, newest = _store_chart(spark, cleaned, root, to_version)
     put("model", "songs", upsert.songs_changed(old["songs"], new, peak), schemas.SONGS)
     now = [*batches, to_version]
     songs = upsert.newest([spark.read.parquet(path(root, b, "model", "songs")) for b in now], "SongID")
@@ -187,7 +215,7 @@ def weekly(
     ids = store(summaries.touched(m["songs"], new), "touched-songs")
     states = {n: summaries.refreshed(n, s, old, m, ids) for n, s in _states(spark, root, from_version, old).items()}
     _chart_summaries(spark, root, to_version, states)
-    _complete(spark, root, to_version, now)
+    _complete(spark, root, to_version, now, newest or mark)
     return read_chart(spark, root, to_version)
 
 
@@ -238,11 +266,11 @@ def compact(spark: SparkSession, root: str, from_version: str, to_version: str,
         for name, df in _read_batches(spark, root, own).items():
             stage, schema = ("source", schemas.CHART_CLEAN) if name == "clean" else ("model", CHART_MODEL[name])
             _store(spark, df.coalesce(1), path(root, merged, stage, name), schema)
-        _complete(spark, root, merged, [*now, merged])
+        _complete(spark, root, merged, [*now, merged], newest_of(spark, root, own[-1]))
         now.append(merged)
     old = _states(spark, root, from_version, _read_batches(spark, root, batches))
     _chart_summaries(spark, root, to_version, old)
-    _complete(spark, root, to_version, now)
+    _complete(spark, root, to_version, now, newest_of(spark, root, from_version))
     return now
 
 

@@ -3,12 +3,13 @@
 The mark is a scalar subquery (``max(Date)`` of the stored rows) inside the filter
 of the incoming rows, so it is computed by the executors and never collected to
 the driver. A row dated at or before the mark is skipped (the only late-data
-rule); with nothing stored yet every row is new.
+rule); with nothing stored yet every row is new. Persisted versions keep their mark beside
+the data (``plans.pipeline``), so a refresh reads no stored row for it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitlist.operators import cleaning
@@ -21,7 +22,11 @@ def high_water_mark(stored: DataFrame) -> DataFrame:
 
 def new_rows(incoming_typed: DataFrame, stored: DataFrame) -> DataFrame:
     """S5 + S6: incoming rows strictly newer than the mark, tagged ``is_new``."""
-    mark = stored.agg(F.max("Date")).scalar()
+    return rows_after(incoming_typed, stored.agg(F.max("Date")).scalar())
+
+
+def rows_after(incoming_typed: DataFrame, mark: Column) -> DataFrame:
+    """S5 + S6 for a mark that is known; a null mark lets every row through."""
     fresh = incoming_typed.filter(mark.isNull() | (F.col("Date") > mark))
     return cleaning.raw_columns(fresh).withColumn("is_new", F.lit(True))
 

@@ -142,3 +142,24 @@ def test_stage_tables_expire_by_age(spark):
     os.utime(kept, (time.time() - 7200, time.time() - 7200))
     assert expire_stages(spark, 1) >= 1
     assert not os.path.exists(folder) and os.path.exists(kept)
+
+
+def test_mark_is_kept_beside_the_data(spark):
+    root, last = _drops(spark)
+    for version in ["v1", "v2", "v3", last]:
+        newest = pipeline.read_chart(spark, root, version)["clean"].agg({"Date": "max"}).first()[0]
+        assert newest is not None and pipeline.newest_of(spark, root, version) == newest
+    pipeline.compact(spark, root, last, "packed")
+    assert pipeline.newest_of(spark, root, "packed") == newest
+    # a drop without new weeks leaves the mark, and so does one onto an empty chart
+    same = chart_frame(spark, _weeks(9))
+    pipeline.weekly(spark, same, root, "packed", "again")
+    assert pipeline.newest_of(spark, root, "again") == newest
+    pipeline.bootstrap(spark, same.limit(0), root, "empty")
+    assert pipeline.newest_of(spark, root, "empty") is None
+    assert pipeline.weekly(spark, same, root, "empty", "filled")["clean"].count() == same.count()
+    # a marker of a version stored before marks were kept
+    old = pipeline.path(root, "filled", "source", pipeline.MARKER)
+    batches = pipeline.batches_of(spark, root, "filled")
+    spark.createDataFrame([(batches,)], "batches array<string>").write.mode("overwrite").parquet(old)
+    assert pipeline.newest_of(spark, root, "filled") == newest
