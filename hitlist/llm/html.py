@@ -15,6 +15,10 @@
    is never cut for its importance. Of a page whose article is most of its text and would lose
    most of it so (near copies), the article stays whole, and a page that would lose all its
    text (a host of copies) is judged by its names alone.
+   Doubtful names (such a word beside another, as in ``<div class="social-studies">``; but none of
+   ``CERTAIN``) don't empty a page: where the page has no article and names leave less than
+   ``NAMES_LEAVE`` of the text outside of the tags named above, the branch named so that holds most
+   of that text is taken as unnamed, and so on inside it.
 4. Where the article has most of the text that is left, what is outside goes, except a first-level
    heading; elsewhere (a teaser, a quote) the article is a branch like others.
 
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -41,6 +46,8 @@ from hitlist.llm.shared import BROADCAST_BYTES, bound_batches, broadcast_if_smal
 LOW, MIN_PAGES = 0.2, 8
 #: Weight of the children's importance, to the power of their number.
 GAMMA = 0.9
+#: Share of a page's text that its names must leave to be believed.
+NAMES_LEAVE = 0.02
 #: Levels of a style tree; also bounds the rounds of ``low_branches``.
 MAX_DEPTH = 64
 
@@ -57,6 +64,7 @@ NOISE = {
     "related", "recommended", "widget", "widgets", "pagination", "pager", "form", "search", "copyright", "contentinfo",
     "complementary", "skip", "toolbar",
 }
+CERTAIN = {"comment", "comments", "disqus", "respond", "replies", "cookie", "cookies", "consent", "gdpr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
@@ -95,41 +103,50 @@ def events(html: str):
         yield 0, "", html[at:]
 
 
-def names(attrs: str) -> tuple[str, set[str]]:
-    """The classes, sorted, each number in them as 0, and the words in class, id and role that name what isn't content.
-    Names of a layout ("has-sidebar") say nothing of the element itself."""
-    classes, noise = "", set()
+def names(attrs: str) -> tuple[str, set[str], bool]:
+    """The classes, sorted, each number in them as 0, the words in class, id and role that name what isn't content,
+    and whether each of them stands beside another word. Names of a layout ("has-sidebar") say nothing of the element itself."""
+    classes, noise, doubtful = "", set(), True
     for key, a, b, c in _NAMES.findall(attrs):
         own = (a or b or c).lower().split()
-        noise.update(w for name in own if not _LAYOUT.match(name) for w in re.split(r"[^a-z]+", name) if w in NOISE)
+        for name in own:
+            said = set(filter(None, re.split(r"[^a-z]+", name))) if not _LAYOUT.match(name) else set()
+            if said & NOISE:
+                noise |= said & NOISE
+                doubtful = doubtful and not said <= NOISE and not said & CERTAIN
         if key.lower() == "class":
             classes = ".".join(sorted({_NUMBER.sub("0", name) for name in own}))
-    return classes, noise
+    return classes, noise, bool(noise) and doubtful
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "above", "depth", "children", "texts", "noisy", "main", "inside", "title", "cut")
+    __slots__ = ("tag", "path", "parent", "above", "depth", "children", "texts", "silent", "doubtful", "noisy", "main", "inside", "title", "cut")
 
-    def __init__(self, tag: str, path: int, parent: "Node | None", noisy: bool, above: "Node | None" = None):
-        """``above`` is the parent in the style tree."""
+    def __init__(
+        self, tag: str, path: int, parent: "Node | None", silent: bool = False, named: bool = False, above: "Node | None" = None
+    ):
+        """``above`` is the parent in the style tree; ``silent`` says the tag holds no text of a page,
+        ``named`` that the names say so."""
         self.tag, self.path, self.parent, self.above = tag, path, parent, above
         self.depth = above.depth + 1 if above else 0
         self.children: list[Node] = []
         self.texts: list[str] = []
-        self.noisy = bool(parent and parent.noisy) or noisy
+        self.silent = bool(parent and parent.silent) or silent
+        self.doubtful = False
+        self.noisy = bool(parent and parent.noisy) or self.silent or named
         self.main = tag in MAIN and not self.noisy
         self.inside = self.main or bool(parent and parent.inside)
         self.title = tag == "h1" or bool(parent and parent.title)
         self.cut = False
 
 
-def walk(html: str):
+def walk(html: str, unbelieved: frozenset = frozenset()):
     """(node, text or None) in page order: a node when it opens, and each stretch of text
     with the node it is directly in, character references decoded; breaks between blocks are
-    the text of a space."""
+    the text of a space. The names of the opened elements numbered in ``unbelieved`` don't count."""
     import xxhash
 
-    top = Node("", 0, None, False)
+    top, opened = Node("", 0, None), 0
     stack = [top]
     yield top, None
     for kind, tag, what in events(html):
@@ -155,24 +172,54 @@ def walk(html: str):
                 break
             if stack[k].tag not in INLINE and stack[k].tag not in SELF_CLOSING:
                 break
-        classes, noise = names(what) if what.strip() else ("", set())
+        classes, noise, doubtful = names(what) if what.strip() else ("", set(), False)
         up = stack[-1]
         if up.inside:  # the heading of the article itself
             noise -= HEADING
-        noisy = tag in SILENT or (tag == "header" and not up.inside)
+        silent = tag in SILENT or (tag == "header" and not up.inside)
         # an article named so inside the article is a reader's comment or a teaser
-        noisy |= bool(noise) and (up.inside or tag not in {"html", "body", *MAIN})
+        named = bool(noise) and (up.inside or tag not in {"html", "body", *MAIN}) and opened not in unbelieved
+        opened += 1
         above = up if up.depth < MAX_DEPTH else up.above
         path = xxhash.xxh64_intdigest(f"{above.path}>{tag}.{classes}") >> 1
-        node = Node(tag, path, up, noisy, above)
+        node = Node(tag, path, up, silent, named, above)
+        node.doubtful = named and doubtful
         above.children.append(node)
         stack.append(node)
         yield node, None
 
 
+def _misnamed(places: list) -> list[int]:
+    """The numbers of the doubtfully named elements that hold most of the text outside of silent
+    tags, each in the one before it, where the names leave no article and next to nothing; else none."""
+    size, left = {}, 0
+    for node, text in places:
+        if text and not node.silent and (n := len("".join(text.split()))):
+            size[node] = size.get(node, 0) + n
+            left += 0 if node.noisy else n
+    whole = sum(size.values())
+    if left >= NAMES_LEAVE * whole or any(node.main for node, _ in places):
+        return []
+    nodes = [node for node, text in places if text is None]
+    for node in reversed(nodes[1:]):  # children come after their parents
+        if node in size:
+            size[node.parent] = size.get(node.parent, 0) + size[node]
+    # the first is the top, which has no tag
+    return [k for k, node in enumerate(nodes[1:]) if node.doubtful and 2 * size.get(node, 0) > whole]
+
+
+def _places(html: str) -> list:
+    """``walk``, without the names of as many elements, from outside, as it takes to leave some text."""
+    places = list(walk(html))
+    if chain := _misnamed(places):
+        few = bisect_left(range(1, len(chain)), True, key=lambda k: not _misnamed(list(walk(html, frozenset(chain[:k])))))
+        places = list(walk(html, frozenset(chain[: few + 1])))
+    return places
+
+
 def main_text(html: str, low: frozenset = frozenset()) -> str:
     """The text of a page without the branches that are noisy or whose path is in ``low``."""
-    places, holders = list(walk(html)), set()  # what has the article below it
+    places, holders = _places(html), set()  # what has the article below it
     for node, text in places:
         up = node.parent if text is None and node.main else None
         while up and up not in holders:

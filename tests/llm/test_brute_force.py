@@ -295,6 +295,29 @@ def test_op7_cuts_what_is_not_content(spark):
     assert got == {i: f"own {i} text {i * i} here" for i in range(20)}
 
 
+def test_op7_names_do_not_empty_a_page():
+    from hitlist.llm.html import main_text
+
+    story = "<h1>Rivers</h1><p>a long way down to the sea</p><div class=related-posts>more</div>"
+    want = "Rivers a long way down to the sea"
+    assert main_text(f"<body><div class=social-studies>{story}</div><footer>foot</footer></body>") == want
+    assert main_text(f"<body><div class=search-results><article>{story}</article></div></body>") == want
+    # as many names as it takes, not more
+    assert main_text(f"<body><div class=menu-planning><div id=login-flow>{story}</div></div></body>") == want
+    assert main_text(f"<body><div class=menu-planning>{story}<div id=comments>{'hi there ' * 9}</div></div></body>") == want
+    # names that leave something are believed
+    assert main_text(f"<body><p>{want}<div id=comments>{'hi there ' * 50}</div></body>") == want
+    assert main_text(f"<body><article>{want}</article><div id=comments>{'hi there ' * 5000}</div></body>") == want
+    # nothing but silent tags, plain names, comments, or beside an empty article
+    assert main_text("<body><nav>a</nav><footer>b</footer></body>") == main_text("") == ""
+    assert main_text("<body><div class=cookie-box>we use some</div><div class=menu>all</div></body>") == ""
+    assert main_text("<body><div id=comments-list><p>nice</p></div></body>") == ""
+    assert main_text("<body><article></article><div class=site-menu>one two</div></body>") == ""
+    # many names in each other: few passes over the page
+    deep = "<div class=menu-planning>" * 3000 + "text"
+    assert main_text(deep) == "text"
+
+
 def extracted(spark, pages):
     from hitlist.llm.html import extract
 
