@@ -1,7 +1,8 @@
 """Token counts without token ids.
 
-A pre-token here is a run of characters between white space. The tokenizer never
-merges across white space, so a text has as many tokens as its pre-tokens together:
+A pre-token is what the tokenizer's own split makes of a text: after its normaliser, a run of
+letters, one digit, a run of other signs or a contraction's end. "word", "word," and "Word" share
+one. No merge crosses a pre-token, so a text has as many tokens as its pre-tokens together:
 
 1. ``vocabulary``: every distinct pre-token of the corpus, how often it occurs, and how
    many pieces the tokenizer cuts it into (counted once each).
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,34 +28,80 @@ from hitlist.llm.shared import WHITE, bound_batches, load_tokenizer, stage, text
 
 #: Bounds of the broadcast: so many pre-tokens, each of at most so many characters.
 HEAD, HEAD_CHARS = 1 << 18, 32
-#: Distinct pre-tokens that a task holds before it passes them on.
-HOLD = 400_000
-
-_PRETOKEN = re.compile(f"[^{WHITE}]+")
-
+#: What a task holds before it passes its counts on: distinct runs, and characters of texts read.
+HOLD, HOLD_CHARS = 400_000, 64 << 20
+#: Runs whose pre-tokens a task remembers, and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 32
+
+_RUN = re.compile(f"[^{WHITE}]+")
+#: The split of the tokenizer's file, for lower-case ASCII without white space.
+_ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def runs(text: str) -> list[str]:
+    """Runs between white space, which no pre-token crosses."""
+    return _RUN.findall(text)
+
+
+def run_cutter(path: str):
+    """A function from a run to its pre-tokens, by the normaliser and the split of the tokenizer. A
+    run that may hold the string of a special token stays whole: the tokenizer takes those out
+    before it splits."""
+    tok = load_tokenizer(path)
+    normal, split = tok.normalizer.normalize_str, tok.pre_tokenizer.pre_tokenize_str
+    remembered: dict[str, list[str]] = {}
+
+    def cut(run: str) -> list[str]:
+        found = remembered.get(run)
+        if found is not None:
+            return found
+        if "<|" in run:
+            found = [run]
+        elif run.isascii():
+            found = _ASCII.findall(run.lower())
+        else:
+            text = normal(run)
+            found = [text[a:b] for _, (a, b) in split(text)]
+        if len(run) <= REMEMBERED_CHARS:
+            if len(remembered) >= REMEMBERED:
+                remembered.clear()
+            remembered[run] = found
+        return found
+
+    return cut
+
+
+def _local_counter(path: str):
+    """(pre-token, count) summed over what a task holds at a time."""
 
-def pretokens(text: str) -> list[str]:
-    return _PRETOKEN.findall(text)
+    def count(batches):
+        import pyarrow as pa
 
+        cut = run_cutter(path)
 
-def _local_counts(batches):
-    """(pre-token, count) summed over what a task holds at a time."""
-    import pyarrow as pa
+        def rows():
+            total: Counter = Counter()
+            for run, n in held.items():
+                for w in cut(run):
+                    total[w] += n
+            return pa.RecordBatch.from_pydict(
+                {"pretoken": pa.array(total.keys(), pa.string()), "freq": pa.array(total.values(), pa.int64())}
+            )
 
-    def rows():
-        return pa.RecordBatch.from_pydict(
-            {"pretoken": pa.array(held.keys(), pa.string()), "freq": pa.array(held.values(), pa.int64())}
-        )
+        held: Counter = Counter()
+        chars = 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.update(runs(text or ""))
+                chars += len(text or "")
+                if len(held) >= HOLD or chars >= HOLD_CHARS:
+                    yield rows()
+                    held.clear()
+                    chars = 0
+        if held:
+            yield rows()
 
-    held: Counter = Counter()
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            held.update(pretokens(text or ""))
-            if len(held) >= HOLD:
-                yield rows()
-                held.clear()
-    if held:
-        yield rows()
+    return count
 
 
 def _piece_counter(path: str):
@@ -76,7 +124,7 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
     """(pretoken, freq, n_pieces) of all texts, stored in the shared folder."""
     counts = (
         docs.select("text")
-        .mapInArrow(_local_counts, "pretoken string, freq long")
+        .mapInArrow(_local_counter(path), "pretoken string, freq long")
         .groupBy("pretoken")
         .agg(F.sum("freq").alias("freq"))
     )
@@ -103,28 +151,27 @@ def head(vocab: DataFrame, most: int = HEAD) -> dict[str, int]:
     return {r[0]: r[1] for r in short.filter(cls >= start).select("pretoken", "n_pieces").collect()}
 
 
-def _document_counter(known):
+def _document_counter(known, path: str):
     """Per document: an entry without a word, which holds the tokens of broadcast pre-tokens,
     and one entry for each other distinct pre-token."""
 
     def count(batches):
         import pyarrow as pa
 
-        pieces = known.value
+        pieces, cut = known.value, run_cutter(path)
         for batch in batches:
             words, freqs, ends = [], [], [0]
             for text in batch.column("text").to_pylist():
-                words.append(None)
-                at, total = len(freqs), 0
-                freqs.append(0)
-                for w, f in Counter(pretokens(text or "")).items():
-                    n = pieces.get(w)
-                    if n is None:
-                        words.append(w)
-                        freqs.append(f)
-                    else:
-                        total += n * f
-                freqs[at] = total
+                total, others = 0, Counter()
+                for run, f in Counter(runs(text or "")).items():
+                    for w in cut(run):
+                        n = pieces.get(w)
+                        if n is None:
+                            others[w] += f
+                        else:
+                            total += n * f
+                words.extend(chain([None], others))
+                freqs.extend(chain([total], others.values()))
                 ends.append(len(words))
             entries = pa.StructArray.from_arrays(
                 [pa.array(words, pa.string()), pa.array(freqs, pa.int64())], ["pretoken", "freq"]
@@ -158,7 +205,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
             "text",
         )
         .mapInArrow(
-            _document_counter(known),
+            _document_counter(known, path),
             f"doc_id {id_type}, key long, n_bytes long, entries array<struct<pretoken:string,freq:long>>",
         )
         .select("doc_id", "key", "n_bytes", F.inline("entries"))

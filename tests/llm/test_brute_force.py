@@ -7,10 +7,12 @@ from array import array
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import __spark_entry__ as E
 import corpus_pipeline
-from hitlist.llm import chat, decontaminate, licenses, neardup, packing, pii, quality, queries, substrings
+from hitlist.llm import chat, decontaminate, licenses, neardup, packing, pii, quality, queries, substrings, token_counts
 from hitlist.llm.shared import load_tokenizer, public_tokenizer, table
 from tests.llm import brute
 from tests.llm.test_odd_tables import check_packing
@@ -83,6 +85,32 @@ def test_op2(spark, docs):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 2048)
 
 
+@given(
+    st.lists(
+        st.one_of(
+            st.text(max_size=12),
+            st.sampled_from(
+                ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "'s", "'LL", "J\u030c", "\u0130", "\u1100\u1161", "\x1c", "\x85", " ", "1", "Word,"]
+            ),
+        ),
+        max_size=12,
+    ).map("".join)
+)
+@settings(max_examples=400, deadline=None)
+def test_op2_pretokens_have_the_tokens_of_the_text(text):
+    path = public_tokenizer("word_bpe_49k.json")
+    tok, cut = load_tokenizer(path), token_counts.run_cutter(path)
+    n = [len(tok.encode(w, add_special_tokens=False)) for r in token_counts.runs(text) for w in cut(r)]
+    assert sum(n) == len(tok.encode(text, add_special_tokens=False))
+
+
+def test_op2_words_share_a_pretoken_in_any_case_and_beside_signs(spark):
+    rows = spark.createDataFrame([(1, "Word, word (WORD) word's"), (2, "word\n\nword<|endoftext|>")], "doc_id long, text string")
+    vocab = token_counts.vocabulary(rows, public_tokenizer("word_bpe_49k.json"))
+    freq = {r.pretoken: r.freq for r in vocab.collect()}
+    assert freq == {"word": 5, ",": 1, "(": 1, ")": 1, "'s": 1, "word<|endoftext|>": 1}
+
+
 @pytest.mark.parametrize("heavy", [0, 2, 512])
 def test_op3(spark, docs, heavy):
     got = substrings.report(table(spark, SF, "documents"), heavy=heavy)
