@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,46 +27,53 @@ from hitlist.llm.shared import WHITE, bound_batches, load_tokenizer, stage, text
 
 #: Bounds of the broadcast: so many pre-tokens, each of at most so many characters.
 HEAD, HEAD_CHARS = 1 << 18, 32
-#: What a task holds before it passes its counts on: distinct runs, and characters of texts read.
+#: What a task holds before it passes its counts on: distinct pre-tokens, and characters of texts read.
 HOLD, HOLD_CHARS = 400_000, 64 << 20
 #: Runs whose pre-tokens a task remembers, and the longest of them.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 32
 
 _RUN = re.compile(f"[^{WHITE}]+")
-#: The split of the tokenizer's file, for lower-case ASCII without white space.
-_ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-
-
-def runs(text: str) -> list[str]:
-    """Runs between white space, which no pre-token crosses."""
-    return _RUN.findall(text)
-
-
-def run_cutter(path: str):
-    """A function from a run to its pre-tokens, by the normaliser and the split of the tokenizer. A
-    run that may hold the string of a special token stays whole: the tokenizer takes those out
-    before it splits."""
+#: Texts of ASCII and the composed letters of Latin-1 and Latin Extended-A, which the normaliser only
+#: lower-cases, one character to one (U+0130 is not among them).
+_LATIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]*")
+#: The split of the tokenizer's file for such texts in lower case; no two branches begin alike but the
+#: last two, so the frequent ones come first.
+_SPLIT = re.compile("[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\xdf-\xf6\xf8-\u017f\t-\r ]+")
+
+
+def cutter(path: str):
+    """A function from a text to its pre-tokens, by the normaliser and the split of the tokenizer,
+    neither of which works across white space. A run between white space that may hold the string
+    of a special token stays whole: the tokenizer takes those out before it splits."""
     tok = load_tokenizer(path)
     normal, split = tok.normalizer.normalize_str, tok.pre_tokenizer.pre_tokenize_str
     remembered: dict[str, list[str]] = {}
 
-    def cut(run: str) -> list[str]:
+    def plain(text: str) -> bool:
+        return "<|" not in text and (text.isascii() or _LATIN.fullmatch(text) is not None)
+
+    def odd(run: str) -> list[str]:
         found = remembered.get(run)
-        if found is not None:
-            return found
-        if "<|" in run:
-            found = [run]
-        elif run.isascii():
-            found = _ASCII.findall(run.lower())
-        else:
+        if found is None:
             text = normal(run)
-            found = [text[a:b] for _, (a, b) in split(text)]
-        if len(run) <= REMEMBERED_CHARS:
-            if len(remembered) >= REMEMBERED:
-                remembered.clear()
-            remembered[run] = found
+            found = [run] if "<|" in run else [text[a:b] for _, (a, b) in split(text)]
+            if len(run) <= REMEMBERED_CHARS:
+                if len(remembered) >= REMEMBERED:
+                    remembered.clear()
+                remembered[run] = found
         return found
 
+    def cut(text: str) -> list[str]:
+        if plain(text):
+            return _SPLIT.findall(text.lower())
+        latin, out = [], []
+        for run in _RUN.findall(text):
+            if plain(run):
+                latin.append(run)
+            else:
+                out += odd(run)
+        return out + _SPLIT.findall(" ".join(latin).lower())
+
     return cut
 
 
@@ -77,22 +83,18 @@ def _local_counter(path: str):
     def count(batches):
         import pyarrow as pa
 
-        cut = run_cutter(path)
+        cut = cutter(path)
 
         def rows():
-            total: Counter = Counter()
-            for run, n in held.items():
-                for w in cut(run):
-                    total[w] += n
             return pa.RecordBatch.from_pydict(
-                {"pretoken": pa.array(total.keys(), pa.string()), "freq": pa.array(total.values(), pa.int64())}
+                {"pretoken": pa.array(held.keys(), pa.string()), "freq": pa.array(held.values(), pa.int64())}
             )
 
         held: Counter = Counter()
         chars = 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                held.update(runs(text or ""))
+                held.update(cut(text or ""))
                 chars += len(text or "")
                 if len(held) >= HOLD or chars >= HOLD_CHARS:
                     yield rows()
@@ -158,20 +160,21 @@ def _document_counter(known, path: str):
     def count(batches):
         import pyarrow as pa
 
-        pieces, cut = known.value, run_cutter(path)
+        pieces, cut = known.value, cutter(path)
         for batch in batches:
             words, freqs, ends = [], [], [0]
             for text in batch.column("text").to_pylist():
-                total, others = 0, Counter()
-                for run, f in Counter(runs(text or "")).items():
-                    for w in cut(run):
-                        n = pieces.get(w)
-                        if n is None:
-                            others[w] += f
-                        else:
-                            total += n * f
-                words.extend(chain([None], others))
-                freqs.extend(chain([total], others.values()))
+                words.append(None)
+                at, total = len(freqs), 0
+                freqs.append(0)
+                for w, f in Counter(cut(text or "")).items():
+                    n = pieces.get(w)
+                    if n is None:
+                        words.append(w)
+                        freqs.append(f)
+                    else:
+                        total += n * f
+                freqs[at] = total
                 ends.append(len(words))
             entries = pa.StructArray.from_arrays(
                 [pa.array(words, pa.string()), pa.array(freqs, pa.int64())], ["pretoken", "freq"]

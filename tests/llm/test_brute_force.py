@@ -99,8 +99,8 @@ def test_op2(spark, docs):
 @settings(max_examples=400, deadline=None)
 def test_op2_pretokens_have_the_tokens_of_the_text(text):
     path = public_tokenizer("word_bpe_49k.json")
-    tok, cut = load_tokenizer(path), token_counts.run_cutter(path)
-    n = [len(tok.encode(w, add_special_tokens=False)) for r in token_counts.runs(text) for w in cut(r)]
+    tok, cut = load_tokenizer(path), token_counts.cutter(path)
+    n = [len(tok.encode(w, add_special_tokens=False)) for w in cut(text)]
     assert sum(n) == len(tok.encode(text, add_special_tokens=False))
 
 
