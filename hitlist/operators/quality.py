@@ -2,15 +2,19 @@
 
 Every check returns a violations DataFrame with one row per offending value:
 ``table_name, rule, value, n_rows`` (empty = the rule holds). Checks are
-aggregations or anti joins; nothing is collected.
+aggregations or anti joins; nothing is collected. ``violations`` checks whole models: one scan of
+each table counts what its rules need (one row to the driver), and only rules that those counts
+don't prove are listed row by row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VIOLATION_COLUMNS = ["table_name", "rule", "value", "n_rows"]
 
@@ -73,3 +77,76 @@ def too_long(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What a table declares: its key, unique columns, references (column to table and column),
+    allowed values and length limits by column."""
+
+    key: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+    references: dict[str, tuple[str, str]] = field(default_factory=dict)
+    allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    limits: dict[str, int] = field(default_factory=dict)
+
+
+def _col(c: str) -> Column:
+    return F.col(f"`{c}`")
+
+
+def _whole(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.IntegralType)
+
+
+def facts(df: DataFrame, rules: Rules, referenced: set[str] = frozenset()) -> Row:
+    """One row of counts over one scan: rows, distinct keys without nulls, distinct and present
+    unique values, smallest and largest whole numbers of references and referenced columns, values
+    outside the allowed ones, texts that are too long."""
+    out = {"rows": F.count(F.lit(1))}
+    if rules.key:
+        out["keys"] = F.count_distinct(*map(_col, rules.key))
+    for c in rules.unique:
+        out[f"present {c}"], out[f"distinct {c}"] = F.count(_col(c)), F.count_distinct(_col(c))
+    for c in {*rules.references, *referenced}:
+        if _whole(df, c):
+            out[f"least {c}"], out[f"most {c}"] = F.min(_col(c)), F.max(_col(c))
+    for c, values in rules.allowed.items():
+        out[f"outside {c}"] = F.count_if(~_col(c).isin(*values))
+    if rules.limits:
+        out["long"] = F.count_if(reduce(lambda a, b: a | b, [F.coalesce(F.length(_col(c)) > n, F.lit(False)) for c, n in rules.limits.items()]))
+    return df.agg(*(c.alias(name) for name, c in out.items())).first()
+
+
+def _references_hold(child: dict, c: str, parent: dict, rules: Rules, parent_col: str) -> bool:
+    """Proven by counts alone: the parent's distinct whole-number keys leave no gap between the
+    smallest and the largest, and all child values lie between these."""
+    if f"least {c}" not in child or f"least {parent_col}" not in parent or rules.key != (parent_col,):
+        return False
+    low, high = parent[f"least {parent_col}"], parent[f"most {parent_col}"]
+    if child[f"least {c}"] is None:
+        return True
+    return low is not None and parent["keys"] == high - low + 1 and low <= child[f"least {c}"] and child[f"most {c}"] <= high
+
+
+def violations(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataFrame:
+    """Q1-Q5 over a model: the same rows as the single checks give together."""
+    tables = {t: df for t, df in tables.items() if t in rules}
+    referenced = {t: {pc for t2 in tables for p, pc in rules[t2].references.values() if p == t} for t in tables}
+    seen = {t: facts(df, rules[t], referenced[t]).asDict() for t, df in tables.items()}
+    found = []
+    for t, df in tables.items():
+        r, n = rules[t], seen[t]
+        if r.key and n["keys"] < n["rows"]:
+            found.append(pk_violations(df, t, list(r.key)))
+        found += [unique_violations(df, t, c) for c in r.unique if n[f"distinct {c}"] < n[f"present {c}"]]
+        for c, (parent, pc) in r.references.items():
+            if not _references_hold(n, c, seen[parent], rules[parent], pc):
+                found.append(fk_violations(df, t, c, tables[parent], pc, parent))
+        found += [domain_violations(df, t, c, list(v)) for c, v in r.allowed.items() if n[f"outside {c}"]]
+        if r.limits and n["long"]:
+            found.append(too_long(df, t, r.limits))
+    if found:
+        return union_all(found)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([], "table_name string, rule string, value string, n_rows long")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitlist.operators import analyses, cleaning, employee, model, quality, summaries, upsert
+from hitlist.plans.pipeline import CHART_RULES
 from hitlist.schemas import CHART_TYPED, LENGTH_LIMITS
 from hitlist.session import store
 from hitlist.sources import bootstrap_flagged, chart_rows, employee_rows, inferred
@@ -287,6 +288,21 @@ def _domain(f: Frames) -> DataFrame:
     return quality.domain_violations(f.features().withColumn("Contribution", label), "features", "Contribution", ["Primary", "Feature"])
 
 
+def _model(f: Frames) -> DataFrame:
+    """The checks of a whole star model: songs loaded twice in part and with every 97th missing, a
+    contribution that isn't allowed; what counts prove is not listed."""
+    songs = store(_loaded_twice(f.songs().filter("SongID % 97 <> 0"), "SongID"), "songs-faulty")
+    label = F.when(F.col("SongID") % 50 == 0, F.lit("Guest")).otherwise(F.col("Contribution"))
+    tables = {
+        "songs": songs,
+        "artists": store(f.artists, "artists"),
+        "features": store(f.features().withColumn("Contribution", label), "features"),
+        "entries": store(f.entries(), "entries"),
+        "chart": f.clean,
+    }
+    return quality.violations(tables, CHART_RULES)
+
+
 def _length(f: Frames) -> DataFrame:
     # lengths do not depend on ids, so no table is numbered for this
     emp = f.emp_stored
@@ -388,6 +404,7 @@ REGISTRY: dict[str, Q] = {
     "fk_violations": _fk,
     "domain_violations": _domain,
     "length_violations": _length,
+    "model_violations": _model,
 }
 
 

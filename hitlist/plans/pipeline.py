@@ -307,43 +307,37 @@ def employees(spark: SparkSession, data: DataFrame, root: str, version: str = "v
     return m
 
 
+_LIMITS = schemas.LENGTH_LIMITS
+CHART_RULES = {
+    "songs": quality.Rules(key=("SongID",), limits=_LIMITS["songs"]),
+    "artists": quality.Rules(key=("ArtistID",), unique=("ArtistName",), limits=_LIMITS["artists"]),
+    "features": quality.Rules(
+        key=("SongID", "ArtistID"),
+        references={"SongID": ("songs", "SongID"), "ArtistID": ("artists", "ArtistID")},
+        allowed={"Contribution": ("Primary", "Feature")},
+        limits=_LIMITS["features"],
+    ),
+    "entries": quality.Rules(key=("EntryDate", "SongID"), references={"SongID": ("songs", "SongID")}),
+    "chart": quality.Rules(limits=_LIMITS["chart"]),
+}
+HR_RULES = {
+    "department": quality.Rules(key=("DepartmentID",), unique=("DepartmentName",), limits=_LIMITS["department"]),
+    "employee": quality.Rules(
+        key=("EmployeeID",), references={"Department": ("department", "DepartmentName")}, limits=_LIMITS["employee"]
+    ),
+    "support_ratings": quality.Rules(key=("EmployeeID",), references={"EmployeeID": ("employee", "EmployeeID")}),
+    "total_sales": quality.Rules(key=("EmployeeID",), references={"EmployeeID": ("employee", "EmployeeID")}),
+}
+
+
 def check_chart_model(m: dict[str, DataFrame]) -> DataFrame:
     """Q1-Q5 over a stored star model: one violations table (empty = consistent)."""
-    return quality.union_all(
-        [
-            quality.pk_violations(m["songs"], "songs", ["SongID"]),
-            quality.pk_violations(m["artists"], "artists", ["ArtistID"]),
-            quality.pk_violations(m["features"], "features", ["SongID", "ArtistID"]),
-            quality.pk_violations(m["entries"], "entries", ["EntryDate", "SongID"]),
-            quality.unique_violations(m["artists"], "artists", "ArtistName"),
-            quality.fk_violations(m["features"], "features", "SongID", m["songs"], "SongID", "songs"),
-            quality.fk_violations(m["features"], "features", "ArtistID", m["artists"], "ArtistID", "artists"),
-            quality.fk_violations(m["entries"], "entries", "SongID", m["songs"], "SongID", "songs"),
-            quality.domain_violations(m["features"], "features", "Contribution", ["Primary", "Feature"]),
-            *_lengths(m, ["songs", "artists", "features"]),
-            *([quality.too_long(m["clean"], "chart", schemas.LENGTH_LIMITS["chart"])] if "clean" in m else []),
-        ]
-    )
-
-
-def _lengths(m: dict[str, DataFrame], tables: list[str]) -> list[DataFrame]:
-    return [quality.too_long(m[t], t, schemas.LENGTH_LIMITS[t]) for t in tables]
+    tables = {"chart" if t == "clean" else t: df for t, df in m.items()}
+    return quality.violations(tables, CHART_RULES)
 
 
 def check_hr_model(m: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all(
-        [
-            quality.pk_violations(m["department"], "department", ["DepartmentID"]),
-            quality.pk_violations(m["employee"], "employee", ["EmployeeID"]),
-            quality.pk_violations(m["support_ratings"], "support_ratings", ["EmployeeID"]),
-            quality.pk_violations(m["total_sales"], "total_sales", ["EmployeeID"]),
-            quality.unique_violations(m["department"], "department", "DepartmentName"),
-            quality.fk_violations(m["employee"], "employee", "Department", m["department"], "DepartmentName", "department"),
-            quality.fk_violations(m["support_ratings"], "support_ratings", "EmployeeID", m["employee"], "EmployeeID", "employee"),
-            quality.fk_violations(m["total_sales"], "total_sales", "EmployeeID", m["employee"], "EmployeeID", "employee"),
-            *_lengths(m, ["department", "employee"]),
-        ]
-    )
+    return quality.violations(m, HR_RULES)
 
 
 def _tables(spark: SparkSession, root: str, version: str, stage: str, names: list[str]) -> dict[str, DataFrame]:
