@@ -50,3 +50,33 @@ def test_types_are_one_pass(spark):
     df = spark.range(10).selectExpr("cast(id as string) as a", "cast(id as string) as b")
     plan = inferred.inferred_types(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range") == 1
+
+
+def test_each_cell_is_read_once(spark):
+    text = spark.createDataFrame([("1", "x", "2024-01-06")], "n string, t string, day string")
+    schema = T.StructType.fromDDL("n int, t string, day date")
+    for read in (inferred.accepted, inferred.rejected):
+        plan = read(text, schema)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RLIKE") == 2 and plan.count("try_cast") == 2 and "regexp_replace" not in plan
+
+
+def test_white_space_and_odd_cells(spark):
+    white = " \t\n\x0b\f\r"
+    rows = [
+        (f"{white}5{white}", "a", f"\r\n2024-01-06{white}"),
+        (white, None, None),
+        ("", " b ", white),
+        ("\u00a05", "c", None),  # no-break space and control characters are no white space
+        ("\x0b\x005", "d", None),
+        ("5 5", "e", "2024-02-30"),
+        ("5\u2028", "f", None),
+    ]
+    text = spark.createDataFrame(rows, "n string, t string, day string")
+    schema = T.StructType.fromDDL("n int, t string, day date")
+    good = sorted(map(tuple, inferred.accepted(text, schema).collect()), key=str)
+    assert good == sorted([(5, "a", dt.date(2024, 1, 6)), (None, None, None), (None, " b ", None)], key=str)
+    bad = sorted((r.column_name, r.reason, r.value, r.t) for r in inferred.rejected(text, schema).collect())
+    assert bad == sorted(
+        [("n", "not int", rows[k][0], rows[k][1]) for k in (3, 4, 5, 6)] + [("day", "not date", "2024-02-30", "e")]
+    )
+    assert _types(text)["n"] == ("string", 5, 2) and _types(text)["day"] == ("string", 2, 5)
