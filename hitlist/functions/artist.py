@@ -68,7 +68,8 @@ def standardize_separators(c: Column) -> Column:
     """Rewrite every separator to ' , ' unless a protected act is named."""
     pattern = "(?i)" + SEPARATOR_REGEX
     not_protected = ~reduce(lambda a, b: a | b, [c.contains(name) for name in PROTECTED_ACTS])
-    return F.when(c.rlike(pattern) & not_protected, F.regexp_replace(c, F.lit(pattern), F.lit(SEPARATOR_REPLACEMENT))).otherwise(c)
+    # a credit without a separator comes back as it is: it isn't searched for one beforehand
+    return F.when(not_protected, F.regexp_replace(c, F.lit(pattern), F.lit(SEPARATOR_REPLACEMENT))).otherwise(c)
 
 
 def ampersand_to_comma(c: Column) -> Column:

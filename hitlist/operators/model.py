@@ -101,26 +101,28 @@ def entries(chart: DataFrame, songs_df: DataFrame) -> DataFrame:
     )
 
 
-def _credits(chart: DataFrame, primary: bool = True, featured: bool = True) -> DataFrame:
-    """(Song, credit, Contribution) rows with usable credit lists (not de-duplicated); one scan
-    gives both kinds."""
-    kinds = [("Artist", "Primary")] * primary + [("Featured_Artist", "Feature")] * featured
+def _credits(chart: DataFrame, song: bool = True, featured: bool = True) -> DataFrame:
+    """(Song, credit, Contribution) rows with usable credit lists; one scan gives both kinds.
+    Credits repeat every week they chart: they are made distinct first, most in the map-side
+    aggregate, and taken apart once each."""
+    kinds = [("Artist", "Primary")] + [("Featured_Artist", "Feature")] * featured
+    of = ["Song"] * song
     cells = [
         F.struct(A.names_without_comma_act(F.col(c)).alias("credit"), F.lit(kind).alias("Contribution")) for c, kind in kinds
     ]
-    return chart.select("Song", F.inline(F.array(*cells))).filter(F.col("credit").isNotNull())
+    once = chart.select(*of, *(c for c, _ in kinds)).distinct()
+    return once.select(*of, F.inline(F.array(*cells))).filter(F.col("credit").isNotNull())
 
 
 def credited(chart: DataFrame) -> DataFrame:
     """(name, Contribution): distinct trimmed names with the kinds of credit they have."""
-    return _credits(chart).select(F.explode(A.split_names(F.col("credit"))).alias("name"), "Contribution").distinct()
+    credits = _credits(chart, song=False)
+    return credits.select(F.explode(A.split_names(F.col("credit"))).alias("name"), "Contribution").distinct()
 
 
 def artist_names(chart: DataFrame) -> DataFrame:
     """M4 without ids: distinct trimmed names from primary and featured credits."""
-    # A credit repeats every week it charts; the explode runs inside the scan stage and
-    # the map-side partial distinct removes the repeats before anything is shuffled.
-    return _credits(chart).select(F.explode(A.split_names(F.col("credit"))).alias("ArtistName")).distinct()
+    return _credits(chart, song=False).select(F.explode(A.split_names(F.col("credit"))).alias("ArtistName")).distinct()
 
 
 def artists(chart: DataFrame) -> DataFrame:
@@ -130,7 +132,7 @@ def artists(chart: DataFrame) -> DataFrame:
 
 def contribution_pairs(chart: DataFrame, songs_df: DataFrame, artists_df: DataFrame, featured: bool = True) -> DataFrame:
     """(SongID, ArtistID, Contribution) candidates, joined by title and by name."""
-    credits = _credits(chart, primary=True, featured=featured).filter(F.col("Song").isNotNull())
+    credits = _credits(chart, featured=featured).filter(F.col("Song").isNotNull())
     named = credits.select("Song", F.explode(A.split_names(F.col("credit"))).alias("name"), "Contribution").distinct()
     s = songs_df.select("SongID", "SongTitle")
     a = artists_df.select("ArtistID", "ArtistName")

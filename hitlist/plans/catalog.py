@@ -43,13 +43,15 @@ class Frames:
 
     @cached_property
     def raw_stored(self) -> DataFrame:
-        """The derived chart computed once, for queries that read it in several branches."""
+        """The derived chart computed once, for queries that read it in several branches or clean
+        all of it for several: deriving and cleaning rows in one stage takes longer than both
+        apart, as one generated method then holds all credit shapes and rules."""
         return store(self.raw, "chart-raw")
 
     @cached_property
     def flagged(self) -> DataFrame:
-        # If a weekly branch of this query already stored the derived chart, read that
-        # copy instead of deriving the chart from lineitem again.
+        # If this query already stored the derived chart, read that copy instead of deriving
+        # the chart from lineitem again.
         return bootstrap_flagged(self.__dict__.get("raw_stored", self.raw))
 
     @cached_property
@@ -59,7 +61,7 @@ class Frames:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return store(self.clean_once, "chart-clean")
+        return store(cleaning.clean(bootstrap_flagged(self.raw_stored)), "chart-clean")
 
     @cached_property
     def as_text(self) -> DataFrame:
@@ -97,16 +99,17 @@ class Frames:
         return self._features[peak]
 
     # ---- weekly drop: stored history (the first tenth of the chart's time) + incoming file
-    @cached_property
-    def history_raw(self) -> DataFrame:
-        raw = self.raw_stored
+    def history(self, chart: DataFrame) -> DataFrame:
         day = F.col("Date").cast("date")
-        split = raw.agg(F.date_add(F.min(day), F.floor(F.datediff(F.max(day), F.min(day)) / 10).cast("int"))).scalar()
-        return raw.filter(day < split)
+        split = self.raw_stored.agg(F.date_add(F.min(day), F.floor(F.datediff(F.max(day), F.min(day)) / 10).cast("int"))).scalar()
+        return chart.filter(day < split)
 
     @cached_property
     def stored(self) -> DataFrame:
-        return store(cleaning.clean(bootstrap_flagged(self.history_raw)), "chart-stored")
+        # every rule reads one row: what this query has cleaned already is not cleaned again
+        if "clean" in self.__dict__:
+            return store(self.history(self.clean), "chart-stored")
+        return store(cleaning.clean(bootstrap_flagged(self.history(self.raw_stored))), "chart-stored")
 
     @cached_property
     def new_rows(self) -> DataFrame:

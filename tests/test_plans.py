@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from hitlist.operators import model
 from hitlist.plans import catalog
 from hitlist.sources import chart_rows
 from tests.conftest import SF_SMALL
@@ -43,3 +44,23 @@ def test_department_means_aggregate_before_join(spark):
     join_at = optimized.find("Join LeftOuter")
     agg_below = optimized.find("Aggregate [Department", join_at)
     assert join_at >= 0 and agg_below > join_at
+
+
+def test_references_derive_and_clean_the_chart_once(spark, monkeypatch):
+    stored, kept = [], catalog.store
+
+    def store(df, name="stage"):
+        stored.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return kept(df, name)
+
+    monkeypatch.setattr(catalog, "store", store)
+    catalog.query("fk_violations")(spark, SF_SMALL)
+    assert [name for name, plan in stored if "row_number()" in plan] == ["chart-raw"]
+    assert [name for name, plan in stored if "regexp_replace" in plan] == ["chart-clean"]
+
+
+def test_credits_are_distinct_before_they_are_taken_apart(spark):
+    frames = catalog.Frames(spark, SF_SMALL)
+    for df in (model.artist_names(frames.clean), model.credited(frames.clean)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") == 2 and plan.rfind("Aggregate") > plan.rfind("Generate")

@@ -56,3 +56,12 @@ def test_counts_prove_a_sound_model_without_a_join(spark, monkeypatch):
     assert got.count() == 0 and got.columns == quality.VIOLATION_COLUMNS
     empty = {"songs": songs.limit(0), "features": feats.limit(0)}
     assert quality.violations(empty, RULES).count() == 0
+
+
+def test_references_are_counted_before_they_meet_the_parent(spark):
+    child = spark.createDataFrame([(1,), (7,), (7,), (9,), (None,)], "k int")
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, t string")
+    got = quality.fk_violations(child, "child", "k", parent, "k", "parent")
+    assert sorted((r.value, r.n_rows) for r in got.collect()) == [("7", 2), ("9", 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert next(n for n, x in enumerate(plan) if "Join LeftAnti" in x) < next(n for n, x in enumerate(plan) if "Aggregate" in x)
